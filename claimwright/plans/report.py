@@ -47,6 +47,7 @@ INTRO_CENTRE = "स्वास्थ केंद्र का नाम ______
 INTRO_MONTH = "माह-वर्ष जिसके लिए प्रत्साहन राशि का दावा किया गया है --"
 
 ALL_RULES = list(RULES)
+UNSCOPED = [rule for rule, terms in RULES.items() if terms.scope is Scope.UNSCOPED]
 NUMERIC = {"rate", "beneficiary_count", "s_no"}
 
 
@@ -79,8 +80,7 @@ def form_lines(run: Run) -> DataFrame:
     The unscoped lines come first, so they have the same numbers on every form and are
     numbered once; a worker's own lines follow, in rule and date order.
     """
-    unscoped = [rule for rule, terms in RULES.items() if terms.scope is Scope.UNSCOPED]
-    shared = F.col("rule").isin(unscoped)
+    shared = F.col("rule").isin(UNSCOPED)
     lines = _claimed(run, ALL_RULES)
     order = [
         F.col("rule").asc(),
@@ -113,15 +113,22 @@ def with_headings(form: DataFrame) -> DataFrame:
 
 
 def claim_totals(run: Run) -> DataFrame:
-    """Grand total of each worker's claim lines; monthly services are not part of it."""
-    amount = leading_integer(F.col("total_claim_amount"))
-    sums = _claimed(run, ALL_RULES).groupBy("worker").agg(F.sum(amount).alias("amount"))
-    if run.params.username is not None:
-        return sums.agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("grand_total")).select(
-            F.lit(run.params.username).alias("worker"), "grand_total"
-        )
-    return run.scope.workers.select("worker").join(sums, "worker", "left").select(
-        "worker", F.coalesce(F.col("amount"), F.lit(0)).alias("own_total")
+    """Grand total of each worker's claim lines; monthly services are not part of it.
+
+    The unscoped lines count for every worker; their sum is computed once, as a scalar.
+    """
+
+    def amount(lines: DataFrame) -> DataFrame:
+        return lines.select("worker_id", leading_integer(F.col("total_claim_amount")).alias("amount"))
+
+    scoped = [rule for rule in ALL_RULES if RULES[rule].scope is not Scope.UNSCOPED]
+    shared = (
+        amount(priced_lines(run, UNSCOPED)).agg(F.coalesce(F.sum("amount"), F.lit(0))).scalar()
+    )
+    sums = amount(priced_lines(run, scoped)).groupBy("worker_id").agg(F.sum("amount").alias("own"))
+    return (
+        run.scope.workers.join(sums, "worker_id", "left")
+        .select("worker", (F.coalesce(F.col("own"), F.lit(0)) + shared).alias("grand_total"))
     )
 
 
