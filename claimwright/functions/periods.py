@@ -8,17 +8,25 @@ from pyspark.sql import functions as F
 from claimwright.params import ReportParams
 
 
-def on_days(c: Column, p: ReportParams) -> Column:
-    """The day of ``c`` lies in the period, both end days whole.
+def on_days_sql(name: str, p: ReportParams) -> str:
+    """The day of column ``name`` lies in the period, both end days whole, as SQL.
 
     Written as a half-open range on the bare column, so the scan can skip row groups.
     """
-    return (c >= p.first_day) & (c < p.day_after)
+    return f"({name} >= date'{p.from_date}' and {name} < date'{p.day_after}')"
 
 
-def at_instants(c: Column, p: ReportParams) -> Column:
-    """``c`` itself lies in the period; a timestamp after midnight of the last day is out."""
-    return c.between(p.first_day, p.last_day)
+def on_days(name: str, p: ReportParams) -> Column:
+    """The day of column ``name`` lies in the period, both end days whole."""
+    return F.expr(on_days_sql(name, p))
+
+
+def at_instants(name: str, p: ReportParams) -> Column:
+    """Column ``name`` itself lies in the period.
+
+    A timestamp after midnight of the last day is out.
+    """
+    return F.expr(f"{name} between date'{p.from_date}' and date'{p.to_date}'")
 
 
 def live(is_voided: Column) -> Column:
@@ -36,15 +44,15 @@ def between_is_known(c: Column) -> Column:
     return c.isNotNull()
 
 
-def day_text(c: Column) -> Column:
-    """The ISO day of a date or timestamp."""
-    return c.cast("date").cast("string")
+def day_text(name: str) -> Column:
+    """The ISO day of a date or timestamp column."""
+    return F.expr(f"cast(cast({name} as date) as string)")
 
 
-def activity_flag(created: Column, modified: Column, p: ReportParams) -> Column:
+def activity_flag(created: str, modified: str, p: ReportParams) -> Column:
     """'Yes' for a row created in the period or modified at any known time, else 'No'."""
     return (
         F.when(at_instants(created, p), "Yes")
-        .when(between_is_known(modified), "Yes")
+        .when(between_is_known(F.col(modified)), "Yes")
         .otherwise("No")
     )

@@ -35,16 +35,8 @@ class ReportParams:
             object.__setattr__(self, "as_of", _as_date(self.as_of))
 
     @property
-    def first_day(self) -> Column:
-        return F.lit(self.from_date)
-
-    @property
-    def last_day(self) -> Column:
-        return F.lit(self.to_date)
-
-    @property
-    def day_after(self) -> Column:
-        return F.lit(self.to_date + timedelta(days=1))
+    def day_after(self) -> date:
+        return self.to_date + timedelta(days=1)
 
     @property
     def today(self) -> Column:

@@ -13,9 +13,7 @@ SOURCES = ("individual", "household", "pregnancy", "child")
 
 def activity(run: Run) -> DataFrame:
     """One 'Yes' or 'No' per row last modified by a worker."""
-    flag = activity_flag(
-        F.col("created_date_time"), F.col("last_modified_date_time"), run.params
-    )
+    flag = activity_flag("created_date_time", "last_modified_date_time", run.params)
     return union_all(
         [
             run.scope.modified(run.tables[name]).select("worker_id", flag.alias("activity"))

@@ -196,7 +196,7 @@ def _edge_members(run: Run) -> DataFrame:
 
 def _window(test: Callable) -> Dataset:
     def build(run: Run) -> DataFrame:
-        rows = run.tables["cbac"].where(test(F.col("encounter_date_time"), run.params))
+        rows = run.tables["cbac"].where(test("encounter_date_time", run.params))
         return rows.select("id", "individual_id", "encounter_date_time")
 
     return build
@@ -242,7 +242,7 @@ def _group_finer(run: Run) -> DataFrame:
         .where(at.isNotNull())
         .groupBy("checklist_item_detail_id", at)
         .agg(F.count("*").alias("items"))
-        .select("checklist_item_detail_id", day_text(at).alias("completion_day"), "items")
+        .select("checklist_item_detail_id", day_text("completion_date").alias("completion_day"), "items")
     )
 
 

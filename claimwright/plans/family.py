@@ -86,9 +86,9 @@ def method_after_delivery(run: Run, rules: set[str]) -> DataFrame | None:
     choices = []
     for rule, column in (("r10", "date_of_sterilisation"), ("r12", "date_of_copper_t")):
         if rule in rules:
-            day = F.col(column)
-            shown = day.cast("string") if rule == "r10" else day_text(day)
-            choices.append((run.on_days(day), F.struct(F.lit(rule).alias("rule"), shown.alias("day"))))
+            shown = F.col(column).cast("string") if rule == "r10" else day_text(column)
+            claim = F.struct(F.lit(rule).alias("rule"), shown.alias("day"))
+            choices.append((run.on_days(column), claim))
     if not choices:
         return None
     methods = (
@@ -116,7 +116,7 @@ def planning_after_abortion(run: Run) -> DataFrame:
     """r11: planning enrolments in the period of people with an abortion."""
     enrolled = (
         run.narrow(_ongoing(run, "family_planning").where(run.on_days("enrolment_date_time")))
-        .select("individual_id", day_text(F.col("enrolment_date_time")).alias("completion"))
+        .select("individual_id", day_text("enrolment_date_time").alias("completion"))
         .distinct()
     )
     abortions = (
@@ -159,6 +159,6 @@ def _children(rows: DataFrame, rule: str) -> DataFrame:
     return rows.select(
         F.lit(rule).alias("rule"),
         F.col("individual_id").alias("person_id"),
-        day_text(F.col("child2_dob")).alias("completion"),
-        day_text(F.col("child1_dob")).alias("registration"),
+        day_text("child2_dob").alias("completion"),
+        day_text("child1_dob").alias("registration"),
     )

@@ -96,7 +96,7 @@ def _on_one_day(rule: str, rows: DataFrame, day: Column) -> DataFrame:
 
 def _cbac(run: Run) -> DataFrame:
     rows = run.tables["cbac"].where(run.at_instants("encounter_date_time"))
-    return _on_one_day("r22", run.narrow(rows), day_text(F.col("encounter_date_time")))
+    return _on_one_day("r22", run.narrow(rows), day_text("encounter_date_time"))
 
 
 def _antra(run: Run) -> DataFrame:
@@ -109,7 +109,7 @@ def _encephalitis(run: Run) -> DataFrame:
     rows = run.tables["acute_encephalitis"].where(
         run.on_days("enrolment_date_time") & (F.col("referred_to") != "Other private hospital")
     )
-    return _on_one_day("r27", run.narrow(rows), day_text(F.col("enrolment_date_time")))
+    return _on_one_day("r27", run.narrow(rows), day_text("enrolment_date_time"))
 
 
 def _visit_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
@@ -179,11 +179,12 @@ def _unscoped_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
     """Tuples that no worker is checked for; ``worker_id`` is null."""
     frames = []
     choices = []
-    died, sterilised = F.col("date_of_death"), F.col("date_of_sterilization")
+    sterilised = F.col("date_of_sterilization").cast("string")
+    in_period = run.on_days("date_of_sterilization")
     for rule, test, day in (
-        ("r05", run.at_instants(died), day_text(died)),
-        ("r08", (F.col("gender") == "Female") & run.on_days(sterilised), sterilised.cast("string")),
-        ("r09", (F.col("gender") == "Male") & run.on_days(sterilised), sterilised.cast("string")),
+        ("r05", run.at_instants("date_of_death"), day_text("date_of_death")),
+        ("r08", (F.col("gender") == "Female") & in_period, sterilised),
+        ("r09", (F.col("gender") == "Male") & in_period, sterilised),
     ):
         if rule in rules:
             choices.append((test, F.struct(F.lit(rule).alias("rule"), day.alias("day"))))
@@ -197,7 +198,7 @@ def _unscoped_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
         frames.append(
             rows.select(
                 F.col("individual_id").alias("person_id"),
-                day_text(F.col("encounter_date_time")).alias("day"),
+                day_text("encounter_date_time").alias("day"),
             )
             .distinct()
             .join(run.live_people(), "person_id")
@@ -231,28 +232,22 @@ def priced_lines(run: Run, rules: list[str]) -> DataFrame:
     counted = tuples.groupBy("worker_id", "rule", "completion", "registration").agg(
         F.count("*").alias("beneficiary_count"), F.max("latest").alias("latest")
     )
-    prices: dict[str, list[Column]] = {}
+    prices: dict[str, list[str]] = {}
     for rule, source in priced.items():
         terms = RULES[rule]
         prices.setdefault(source, []).append(
-            F.struct(
-                F.lit(rule).alias("rule"),
-                F.lit(terms.code).alias("code"),
-                F.lit(terms.rate).alias("rate"),
-                F.lit(terms.instant_completion).alias("instant_completion"),
-                F.lit(terms.instant_registration).alias("instant_registration"),
-            )
+            f"named_struct('rule', '{rule}', 'code', '{terms.code}', 'rate', {terms.rate}, "
+            f"'instant_completion', {terms.instant_completion}, "
+            f"'instant_registration', {terms.instant_registration})"
         )
-    price_list = F.create_map(
-        *(x for source, terms in prices.items() for x in (F.lit(source), F.array(*terms)))
-    )
+    listed = ", ".join(f"'{source}', array({', '.join(terms)})" for source, terms in prices.items())
 
     def shown(side: str) -> Column:
         return F.when(F.col(f"p.instant_{side}"), F.substring(side, 1, 10)).otherwise(F.col(side))
 
     # In treatment (r28) the latest visit is an aggregate, not a group key.
     completion = F.when(F.col("p.rule") == "r28", F.col("latest")).otherwise(shown("completion"))
-    return counted.select("*", F.explode(price_list[F.col("rule")]).alias("p")).select(
+    return counted.select("*", F.expr(f"explode(map({listed})[rule])").alias("p")).select(
         "worker_id",
         F.col("p.rule").alias("rule"),
         F.col("p.code").alias("code"),

@@ -22,11 +22,11 @@ class Run:
         self.params = params
         self.scope = WorkerScope(tables["users"], params.username)
 
-    def on_days(self, c: str | Column) -> Column:
-        return on_days(F.col(c) if isinstance(c, str) else c, self.params)
+    def on_days(self, name: str) -> Column:
+        return on_days(name, self.params)
 
-    def at_instants(self, c: str | Column) -> Column:
-        return at_instants(F.col(c) if isinstance(c, str) else c, self.params)
+    def at_instants(self, name: str) -> Column:
+        return at_instants(name, self.params)
 
     def live_people(self) -> DataFrame:
         """Ids of the people who are not voided."""

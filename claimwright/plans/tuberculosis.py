@@ -110,7 +110,7 @@ def _case_types(run: Run) -> DataFrame:
             F.col("individual_id").alias("person_id"),
             "resistant",
             "sensitive",
-            F.when(F.col("newest.type") == "Drug resistant", day_text(F.col("newest.at"))).alias(
+            F.when(F.col("newest.type") == "Drug resistant", day_text("newest.at")).alias(
                 "latest"
             ),
         )
@@ -127,7 +127,7 @@ def confirmed_cases(run: Run) -> DataFrame:
     rows = run.tables["tb_followup"].where(
         (F.col("tb_status") == "Confirmed") & run.on_days("tb_status_date")
     )
-    day = day_text(F.col("tb_status_date"))
+    day = day_text("tb_status_date")
     return (
         run.narrow(rows)
         .select("individual_id", day.alias("day"))
@@ -178,13 +178,13 @@ def treatment_claims(run: Run, rules: set[str]) -> DataFrame | None:
     if finished:
         first = confirmations.select(
             F.col("individual_id").alias("person_id"),
-            day_text(F.col("tb_status_date")).alias("registration"),
+            day_text("tb_status_date").alias("registration"),
         ).distinct()
         last = (
             rows.where(_completed(run))
             .select(
                 F.col("individual_id").alias("person_id"),
-                day_text(F.col("treatment_completion_date")).alias("completion"),
+                day_text("treatment_completion_date").alias("completion"),
             )
             .distinct()
         )

@@ -59,12 +59,12 @@ def vaccinations(run: Run, uses: list[str]) -> DataFrame:
     completed = F.col("completion_date")
 
     def use(name: str) -> tuple[Column, Column]:
-        key = {"dpt2": day_text(completed), "bcg": completed.cast("string")}.get(
+        key = {"dpt2": day_text("completion_date"), "bcg": completed.cast("string")}.get(
             name, F.lit(None).cast("string")
         )
         test = F.col("vaccine").isin(*USES[name])
         if name == "bcg":
-            test = test & run.on_days(completed)
+            test = test & run.on_days("completion_date")
         return test, F.struct(F.lit(name).alias("use"), key.alias("key"))
 
     names = set().union(*(USES[name] for name in uses))

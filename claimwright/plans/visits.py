@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.functions.periods import day_text, live, neither_nor_as_written
+from claimwright.functions.periods import day_text, live, on_days_sql
 from claimwright.operators.numbering import first_k, number_rows
 from claimwright.plans.run import Run, union_all, variants
 
@@ -102,8 +102,8 @@ def _with_copies(run: Run, df: DataFrame) -> DataFrame:
     )
 
 
-def _encounter_of(visit: int) -> Column:
-    return F.ceil(F.lit(visit) / F.col("copies")).cast("int")
+def _encounter_of(visit: int) -> str:
+    return f"cast(ceil({visit} / copies) as int)"
 
 
 def numbered_visits(run: Run, kind: str) -> DataFrame:
@@ -130,7 +130,7 @@ def nth_visit(run: Run, kind: str, n: int, in_period: bool) -> DataFrame:
         worker_visits(run, [kind]), ["worker_id", "person_id"], visit_order(), n
     )
     if kind == "anc":
-        visits = _with_copies(run, visits).where(F.col("nth") == _encounter_of(n))
+        visits = _with_copies(run, visits).where(F.col("nth") == F.expr(_encounter_of(n)))
     else:
         visits = visits.where(F.col("nth") == n)
     visits = visits.withColumn("day", F.to_date("at"))
@@ -154,21 +154,21 @@ def _pivoted(run: Run, kinds: list[str]) -> DataFrame:
         max(LAST_VISIT[kind] for kind in kinds),
     )
 
-    def pick(kind: str, n: int, column: Column, name: str) -> Column:
-        here = (F.col("kind") == kind) & (F.col("nth") == n)
-        return F.max(F.when(here, column)).alias(f"{kind}_{name}_{n}")
+    def pick(kind: str, n: int, column: str, name: str) -> Column:
+        return F.expr(
+            f"max(case when kind = '{kind}' and nth = {n} then {column} end) as {kind}_{name}_{n}"
+        )
 
     picks = []
     for kind in kinds:
-        picks += [pick(kind, n, F.to_date("at"), "day") for n in PIVOTED[kind]]
-        picks += [pick(kind, n, F.col("note"), "note") for n in PIVOTED_NOTES[kind]]
-        picks += [pick(kind, n, F.col("mode"), "mode") for n in PIVOTED_NOTES[kind]]
+        picks += [pick(kind, n, "cast(at as date)", "day") for n in PIVOTED[kind]]
+        picks += [pick(kind, n, "note", "note") for n in PIVOTED_NOTES[kind]]
+        picks += [pick(kind, n, "mode", "mode") for n in PIVOTED_NOTES[kind]]
     wide = numbered.groupBy("worker_id", "person_id").agg(*picks)
 
-    completing = F.lit(False)
-    for kind in kinds:
-        for n in COMPLETING[kind]:
-            completing = completing | F.coalesce(run.on_days(f"{kind}_day_{n}"), F.lit(False))
+    completing = " or ".join(
+        on_days_sql(f"{kind}_day_{n}", run.params) for kind in kinds for n in COMPLETING[kind]
+    )
     wide = wide.where(completing).join(run.live_people(), "person_id")
     return _with_copies(run, wide) if "anc" in kinds else wide
 
@@ -189,56 +189,39 @@ def nth_visit_claims(run: Run, rules: set[str]) -> DataFrame | None:
         return None
     kinds = sorted(set().union(*(kinds_of[rule] for rule in wanted)))
 
-    def anc(n: int, name: str = "day") -> Column:
-        last = max((PIVOTED if name == "day" else PIVOTED_NOTES)["anc"])
-        values = F.array(*(F.col(f"anc_{name}_{i}") for i in range(1, last + 1)))
-        return F.get(values, _encounter_of(n) - 1)
-
-    def hbnc(n: int) -> Column:
-        return F.col(f"hbnc_day_{n}")
-
-    def dated(c: Column) -> Column:
-        return F.when(run.on_days(c), c)
-
-    def place(n: int) -> Column:
-        return F.col(f"hbnc_note_{n}")
-
-    def section(n: int) -> Column:
-        return F.col(f"hbnc_mode_{n}")
+    def anc(n: int, name: str = "day") -> str:
+        pivoted = PIVOTED if name == "day" else PIVOTED_NOTES
+        values = ", ".join(f"anc_{name}_{i}" for i in pivoted["anc"])
+        return f"get(array({values}), {_encounter_of(n)} - 1)"
+
+    def dated(name: str) -> str:
+        return f"case when {on_days_sql(name, run.params)} then {name} end"
+
+    # Completion day, registration day and what else has to hold. The place test of the
+    # sixth visit passes for every known place: it is "not home or not in transit".
+    claims = {
+        "r01": (anc(4), anc(1), "true"),
+        "r02": (anc(4), anc(2), f"{anc(2, 'note')} = 'Yes'"),
+        "r06": (anc(8), anc(1), "true"),
+        "r18": (
+            "hbnc_day_6",
+            dated("hbnc_day_2"),
+            "hbnc_note_6 is not null and hbnc_mode_6 <> 'C-section'",
+        ),
+        "r19": (
+            "hbnc_day_6",
+            dated("hbnc_day_3"),
+            "hbnc_note_6 is not null and hbnc_mode_6 = 'C-section'",
+        ),
+        "r20": ("hbnc_day_7", dated("hbnc_day_1"), "hbnc_note_7 in ('Home', 'In-transit')"),
+        "r21": ("hbyc_day_5", dated("hbnc_day_1"), "true"),
+    }
 
     def claim(rule: str) -> tuple[Column, Column]:
-        if rule in ("r01", "r02"):
-            done, registered = anc(4), anc(1 if rule == "r01" else 2)
-            earned = run.on_days(done)
-            if rule == "r02":
-                earned = earned & (anc(2, "note") == "Yes")
-        elif rule == "r06":
-            done, registered = anc(8), anc(1)
-            earned = run.on_days(done)
-        elif rule == "r18":
-            done, registered = hbnc(6), dated(hbnc(2))
-            earned = (
-                run.on_days(done)
-                & neither_nor_as_written(place(6))
-                & (section(6) != "C-section")
-            )
-        elif rule == "r19":
-            done, registered = hbnc(6), dated(hbnc(3))
-            earned = (
-                run.on_days(done)
-                & neither_nor_as_written(place(6))
-                & (section(6) == "C-section")
-            )
-        elif rule == "r20":
-            done, registered = hbnc(7), dated(hbnc(1))
-            earned = run.on_days(done) & place(7).isin("Home", "In-transit")
-        else:
-            done, registered = F.col("hbyc_day_5"), dated(hbnc(1))
-            earned = run.on_days(done)
-        return earned, F.struct(
-            F.lit(rule).alias("rule"),
-            done.alias("done"),
-            registered.alias("registered"),
+        done, registered, test = claims[rule]
+        earned = F.expr(f"{on_days_sql(done, run.params)} and {test}")
+        return earned, F.expr(
+            f"named_struct('rule', '{rule}', 'done', {done}, 'registered', {registered})"
         )
 
     return (
@@ -247,8 +230,8 @@ def nth_visit_claims(run: Run, rules: set[str]) -> DataFrame | None:
         .select(
             "worker_id",
             F.col("c.rule").alias("rule"),
-            day_text(F.col("c.done")).alias("completion"),
-            day_text(F.col("c.registered")).alias("registration"),
+            day_text("c.done").alias("completion"),
+            day_text("c.registered").alias("registration"),
         )
     )
 
@@ -312,11 +295,11 @@ def td_claims(run: Run, rules: set[str]) -> DataFrame | None:
         doses = doses.join(firsts, ["worker_id", "person_id", "dose"], "left")
         registered = F.when(F.col("dose") == "second", F.col("first_day")).otherwise(registered)
     rule = F.when(F.col("dose") == "second", "r03").otherwise("r04")
-    return doses.select(
+    return doses.withColumn("registered", registered).select(
         "worker_id",
         rule.alias("rule"),
-        day_text(F.col("day")).alias("completion"),
-        day_text(registered).alias("registration"),
+        day_text("day").alias("completion"),
+        day_text("registered").alias("registration"),
     )
 
 

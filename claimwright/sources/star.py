@@ -215,13 +215,16 @@ STAR_TABLES = ("customer", "events", "lineitem", "orders", "part", "supplier")
 
 def star_tables(spark: SparkSession, directory: str) -> Tables:
     """The 22 claim tables derived from the star-schema parquet in ``directory``."""
-    frames: dict[str, DataFrame] = {
-        name: spark.read.parquet(f"{directory}/{name}.parquet") for name in STAR_TABLES
-    }
-    for view, sql in VIEWS.items():
-        query = re.sub(r"\bfrom (\w+)", r"from {\1}", sql)
-        sources = set(re.findall(r"\bfrom \{(\w+)\}", query))
-        frames[view] = spark.sql(query, **{name: frames[name] for name in sources})
-    return Tables(
-        {view.removeprefix("fx_"): frames[view] for view in VIEWS if view != "fx_encounter"}
-    )
+    frames: dict[str, DataFrame] = {}
+
+    def frame(name: str) -> DataFrame:
+        if name not in frames:
+            if name in STAR_TABLES:
+                frames[name] = spark.read.parquet(f"{directory}/{name}.parquet")
+            else:
+                query = re.sub(r"\bfrom (\w+)", r"from {\1}", VIEWS[name])
+                sources = set(re.findall(r"\bfrom \{(\w+)\}", query))
+                frames[name] = spark.sql(query, **{source: frame(source) for source in sources})
+        return frames[name]
+
+    return Tables(lambda table: frame(f"fx_{table}"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,15 +132,20 @@ QUESTIONS: dict[str, dict[str, str]] = {
 
 
 class Tables:
-    """The base tables by name; ``tables["anc"]`` is a DataFrame with the columns of SCHEMAS."""
+    """The base tables by name, each opened when first used.
 
-    def __init__(self, frames: Mapping[str, DataFrame]) -> None:
-        missing = sorted(set(SCHEMAS) - set(frames))
-        if missing:
-            raise ValueError(f"missing base tables: {', '.join(missing)}")
-        self._frames = dict(frames)
+    ``tables["anc"]`` is a DataFrame with the columns of SCHEMAS.
+    """
+
+    def __init__(self, opener: Callable[[str], DataFrame]) -> None:
+        self._opener = opener
+        self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in SCHEMAS:
+            raise KeyError(f"no base table named {name!r}")
+        if name not in self._frames:
+            self._frames[name] = self._opener(name)
         return self._frames[name]
 
 
@@ -152,13 +157,14 @@ def stored_schema(table: str) -> T.StructType:
 
 
 def read_tables(spark: SparkSession, directory: str) -> Tables:
-    """Read the stored tables, one parquet folder each, under their fixed schemas."""
-    frames = {}
-    for table, ddl in SCHEMAS.items():
+    """The stored tables, one parquet folder each, under their fixed schemas."""
+
+    def read(table: str) -> DataFrame:
         schema = stored_schema(table)
         stored = spark.read.schema(schema).parquet(f"{directory}/{STORED_TABLES.get(table, table)}")
-        names = T.StructType.fromDDL(ddl).fieldNames()
-        frames[table] = stored.select(
+        names = T.StructType.fromDDL(SCHEMAS[table]).fieldNames()
+        return stored.select(
             *(F.col(f"`{field.name}`").alias(name) for field, name in zip(schema, names))
         )
-    return Tables(frames)
+
+    return Tables(read)
