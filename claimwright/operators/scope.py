@@ -55,17 +55,19 @@ class WorkerScope:
     @cached_property
     def _aliases(self) -> DataFrame | None:
         """User ids that stand for another id of the same username, if there are any."""
-        first = self.users.groupBy("username").agg(
-            F.min("id").alias("worker_id"), F.count("*").alias("accounts")
+        shared = (
+            self.users.groupBy("username")
+            .agg(F.min("id").alias("worker_id"), F.count("*").alias("accounts"))
+            .where(F.col("accounts") > 1)
+            .select("username", "worker_id")
         )
-        shared = first.where(F.col("accounts") > 1).select("username", "worker_id")
+        if fits(shared, 0):
+            return None
         aliases = (
             self.users.join(shared, "username")
             .where(F.col("id") != F.col("worker_id"))
             .select(F.col("id").alias("alias_id"), F.col("worker_id").alias("alias_of"))
         )
-        if fits(aliases, 0):
-            return None
         return broadcast_if_small(aliases)
 
     def _worker_of(self, df: DataFrame, user_id: str, into: str) -> DataFrame:

@@ -191,7 +191,7 @@ def _scope_modified(run: Run) -> DataFrame:
 
 
 def _edge_members(run: Run) -> DataFrame:
-    return vaccines.family_members(vaccines.mother_child(run))
+    return vaccines.family_members(vaccines.mother_child(run)).select("person_id", "mother_id")
 
 
 def _window(test: Callable) -> Dataset:

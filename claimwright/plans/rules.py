@@ -115,7 +115,7 @@ def _encephalitis(run: Run) -> DataFrame:
 def _visit_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
     frames = [visits.nth_visit_claims(run, rules), visits.td_claims(run, rules)]
     return [
-        df.select("worker_id", "rule", "completion", "registration", _no_text("latest"))
+        df.select("worker_id", "rule", "completion", "registration", _no_day("latest"))
         for df in frames
         if df is not None
     ]
@@ -123,18 +123,26 @@ def _visit_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
 
 def _person_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
     """Tuples credited to the workers of the person."""
-    plain = {
-        "r11": family.planning_after_abortion,
+    # A person's many events on a day have to become one tuple before the join.
+    repeated = {
         "r13": family.spaced_children,
         "r14": family.sterilised_after_two,
         "r22": _cbac,
+        "r27": _encephalitis,
+    }
+    distinct = {
+        "r11": family.planning_after_abortion,
+        "r23": vaccines.birth_doses,
         "r25": _antra,
         "r26": tuberculosis.confirmed_cases,
-        "r27": _encephalitis,
     }
-    frames = [build(run) for rule, build in plain.items() if rule in rules]
+    frames = []
+    events = [_with_columns(build(run)) for rule, build in repeated.items() if rule in rules]
+    if events:
+        frames.append(union_all(events).distinct())
+    frames += [_with_columns(build(run)) for rule, build in distinct.items() if rule in rules]
     frames += [
-        df
+        _with_columns(df)
         for df in (
             family.method_after_delivery(run, rules),
             tuberculosis.treatment_claims(run, rules),
@@ -144,8 +152,7 @@ def _person_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
     ]
     if not frames:
         return []
-    # Distinct before the join: a person's many events on a day travel as one tuple.
-    tuples = union_all([_with_columns(df) for df in frames]).distinct()
+    tuples = union_all(frames)
     met = tuples.join(run.people_of_workers(), "person_id").select(
         "*", F.explode("workers").alias("w")
     )
@@ -157,7 +164,7 @@ def _person_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
 
 
 def _with_columns(df: DataFrame) -> DataFrame:
-    latest = F.col("latest") if "latest" in df.columns else _no_text("latest")
+    latest = F.col("latest") if "latest" in df.columns else _no_day("latest")
     items = F.col("items") if "items" in df.columns else F.lit(None).cast("bigint").alias("items")
     return df.select(*_KEYS, latest, items)
 
@@ -210,14 +217,14 @@ def _unscoped_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
             "rule",
             F.col("day").alias("completion"),
             F.col("day").alias("registration"),
-            _no_text("latest"),
+            _no_day("latest"),
         )
         for df in frames
     ]
 
 
-def _no_text(name: str) -> Column:
-    return F.lit(None).cast("string").alias(name)
+def _no_day(name: str) -> Column:
+    return F.lit(None).cast("date").alias(name)
 
 
 def priced_lines(run: Run, rules: list[str]) -> DataFrame:
@@ -246,7 +253,9 @@ def priced_lines(run: Run, rules: list[str]) -> DataFrame:
         return F.when(F.col(f"p.instant_{side}"), F.substring(side, 1, 10)).otherwise(F.col(side))
 
     # In treatment (r28) the latest visit is an aggregate, not a group key.
-    completion = F.when(F.col("p.rule") == "r28", F.col("latest")).otherwise(shown("completion"))
+    completion = F.when(F.col("p.rule") == "r28", F.col("latest").cast("string")).otherwise(
+        shown("completion")
+    )
     return counted.select("*", F.expr(f"explode(map({listed})[rule])").alias("p")).select(
         "worker_id",
         F.col("p.rule").alias("rule"),

@@ -110,7 +110,7 @@ def _case_types(run: Run) -> DataFrame:
             F.col("individual_id").alias("person_id"),
             "resistant",
             "sensitive",
-            F.when(F.col("newest.type") == "Drug resistant", day_text("newest.at")).alias(
+            F.when(F.col("newest.type") == "Drug resistant", F.to_date("newest.at")).alias(
                 "latest"
             ),
         )
@@ -196,7 +196,7 @@ def treatment_claims(run: Run, rules: set[str]) -> DataFrame | None:
                 "person_id",
                 "completion",
                 "registration",
-                F.lit(None).cast("string").alias("latest"),
+                F.lit(None).cast("date").alias("latest"),
             )
         )
     return union_all(frames)

@@ -17,8 +17,8 @@ BOOSTER = ("DPT Booster 1", "DPT Booster 2", "OPV Booster", "Measles 2", "JE 2")
 # Relationship types that link a mother to her child.
 MOTHER_CHILD_TYPES = (664, 673)
 
-# What a completed item counts for: a series is counted whole, a single vaccine by date.
-USES = {"primary": PRIMARY, "booster": BOOSTER, "dpt2": ("DPT Booster 2",), "bcg": ("BCG",)}
+# What a completed item counts for: a series is counted whole, the second booster by day.
+USES = {"primary": PRIMARY, "booster": BOOSTER, "dpt2": ("DPT Booster 2",)}
 
 
 def checklist_owners(run: Run) -> DataFrame:
@@ -47,42 +47,45 @@ def named_details(run: Run, names: set[str]) -> DataFrame:
     return broadcast_if_small(details.join(concepts, "concept_id").drop("concept_id"))
 
 
+def completed_items(run: Run, names: set[str]) -> DataFrame:
+    """Completed checklist items of the given vaccines."""
+    return (
+        run.tables["checklist_item"]
+        .where(F.col("completion_date").isNotNull())
+        .select("checklist_id", "checklist_item_detail_id", "completion_date")
+        .join(named_details(run, names), "checklist_item_detail_id")
+        .drop("checklist_item_detail_id")
+    )
+
+
 def vaccinations(run: Run, uses: list[str]) -> DataFrame:
-    """Completed items per person, use and key: first and last completion, number of rows.
+    """Completed items per person and use: first and last completion, number of rows.
 
-    A series has one row per person, ``key`` being null. A single vaccine has one row per
-    day ('dpt2') or per completion time in the period ('bcg').
+    A series has one row per person, ``key`` being null; 'dpt2' has one row per day. The
+    enrolment has not ended.
 
     The small tables are joined first, so the items are shuffled twice: to their checklist's
     person, and, already counted per map task, to the group.
     """
-    completed = F.col("completion_date")
 
     def use(name: str) -> tuple[Column, Column]:
-        key = {"dpt2": day_text("completion_date"), "bcg": completed.cast("string")}.get(
-            name, F.lit(None).cast("string")
+        key = day_text("completion_date") if name == "dpt2" else F.lit(None).cast("string")
+        return F.col("vaccine").isin(*USES[name]), F.struct(
+            F.lit(name).alias("use"), key.alias("key")
         )
-        test = F.col("vaccine").isin(*USES[name])
-        if name == "bcg":
-            test = test & run.on_days("completion_date")
-        return test, F.struct(F.lit(name).alias("use"), key.alias("key"))
 
-    names = set().union(*(USES[name] for name in uses))
-    items = (
-        run.tables["checklist_item"]
-        .where(completed.isNotNull())
-        .select("checklist_id", "checklist_item_detail_id", "completion_date")
-        .join(named_details(run, names), "checklist_item_detail_id")
-        .select("checklist_id", "completion_date", variants(*(use(name) for name in uses)).alias("u"))
-        .select("checklist_id", "completion_date", "u.use", "u.key")
+    items = completed_items(run, set().union(*(USES[name] for name in uses))).select(
+        "checklist_id", "completion_date", variants(*(use(name) for name in uses)).alias("u")
     )
-    owned = items.join(checklist_owners(run), "checklist_id")
-    if uses != ["bcg"]:
-        owned = owned.where((F.col("use") == "bcg") | ~F.col("exited"))
-    return owned.groupBy("person_id", "use", "key").agg(
-        F.min("completion_date").alias("first_completion"),
-        F.max("completion_date").alias("last_completion"),
-        F.count("*").alias("items"),
+    owners = checklist_owners(run).where(~F.col("exited")).drop("exited")
+    return (
+        items.join(owners, "checklist_id")
+        .groupBy("person_id", F.col("u.use").alias("use"), F.col("u.key").alias("key"))
+        .agg(
+            F.min("completion_date").alias("first_completion"),
+            F.max("completion_date").alias("last_completion"),
+            F.count("*").alias("items"),
+        )
     )
 
 
@@ -104,66 +107,100 @@ def series(run: Run, use: str) -> DataFrame:
     )
 
 
-def mother_child(run: Run) -> DataFrame:
-    """Mother and child of every known relationship between two live people."""
-    types = run.tables["relationship_type"].where(F.col("id").isin(*MOTHER_CHILD_TYPES))
+def _mother_child_edges(run: Run) -> DataFrame:
+    """Mother and child of every mother-child relationship, whoever they are."""
+    types = (
+        run.tables["relationship_type"]
+        .where(F.col("id").isin(*MOTHER_CHILD_TYPES))
+        .select(F.col("id").alias("relationship_type_id"))
+        .distinct()
+    )
+    # Distinct ids out of a list of two: at most two rows.
     return (
         run.tables["relationship"]
         .where(F.col("relationship_type_id").isin(*MOTHER_CHILD_TYPES))
-        .join(types, F.col("relationship_type_id") == types["id"], "left_semi")
-        .select(F.col("individual_a_id").alias("mother_id"), F.col("individual_b_id").alias("child_id"))
-        .join(run.live_people().withColumnRenamed("person_id", "mother_id"), "mother_id", "left_semi")
-        .join(run.live_people().withColumnRenamed("person_id", "child_id"), "child_id", "left_semi")
-        .select("mother_id", "child_id")
+        .join(F.broadcast(types), "relationship_type_id", "left_semi")
+        .select(
+            F.col("individual_a_id").alias("mother_id"), F.col("individual_b_id").alias("child_id")
+        )
     )
 
 
+def mother_child(run: Run) -> DataFrame:
+    """Mother and child of every mother-child relationship between two live people."""
+    edges = _mother_child_edges(run)
+    for end in ("mother_id", "child_id"):
+        edges = edges.join(run.live_people().withColumnRenamed("person_id", end), end, "left_semi")
+    return edges.select("mother_id", "child_id")
+
+
 def family_members(edges: DataFrame) -> DataFrame:
-    """Each end of a mother-child edge with the mother it leads to."""
+    """Each end of a mother-child edge as ``person_id``, with the edge."""
     ends = F.array_distinct(F.array("mother_id", "child_id"))
-    return edges.select(F.explode(ends).alias("person_id"), "mother_id")
+    return edges.select(F.explode(ends).alias("person_id"), "mother_id", "child_id")
+
 
+def birth_doses(run: Run) -> DataFrame:
+    """r23: birth doses completed in the period, with the admissions of the mother.
 
-def mother_admissions(run: Run) -> DataFrame:
-    """Distinct admission days of the person's mother, or of the mother herself."""
+    The person is either end of a mother-child edge. The person's own liveness is left to
+    the join with the people, so only the other end of the edge is looked up here.
+    """
+    doses = (
+        completed_items(run, {"BCG"})
+        .where(run.on_days("completion_date"))
+        .join(checklist_owners(run), "checklist_id")
+        .select("person_id", F.col("completion_date").cast("string").alias("completion"))
+        .distinct()
+    )
+    other = F.when(F.col("person_id") == F.col("mother_id"), F.col("child_id")).otherwise(
+        F.col("mother_id")
+    )
+    # Distinct before the doses are met: a mother of many children is one row here.
+    members = (
+        run.narrow(family_members(_mother_child_edges(run)), "person_id")
+        .withColumn("other_id", other)
+        .join(run.live_people().withColumnRenamed("person_id", "other_id"), "other_id", "left_semi")
+        .select("person_id", "mother_id")
+        .distinct()
+    )
     admissions = (
         run.tables["delivery"]
         .where(neither_nor_as_written(F.col("place_of_delivery")))
         .select(
             F.col("individual_id").alias("mother_id"),
-            F.col("date_of_admission").cast("string").alias("admission"),
+            F.col("date_of_admission").cast("string").alias("registration"),
         )
         .distinct()
     )
-    members = run.narrow(family_members(mother_child(run)), "person_id").distinct()
-    return members.join(admissions, "mother_id").select("person_id", "admission").distinct()
+    return (
+        doses.join(members, "person_id")
+        .join(admissions, "mother_id")
+        .select(F.lit("r23").alias("rule"), "person_id", "completion", "registration")
+        .distinct()
+    )
 
 
 def vaccine_claims(run: Run, rules: set[str]) -> DataFrame | None:
-    """Candidate tuples of the vaccination rules, before the worker is known."""
-    use_of = {"r15": "primary", "r16": "booster", "r17": "dpt2", "r23": "bcg"}
+    """Candidate tuples of the series (r15, r16) and of the second booster (r17)."""
+    use_of = {"r15": "primary", "r16": "booster", "r17": "dpt2"}
     wanted = {rule: use for rule, use in use_of.items() if rule in rules}
     if not wanted:
         return None
-    uses = list(wanted.values())
-    done = vaccinations(run, uses)
-    registration = F.when(F.col("use") == "dpt2", F.col("key")).otherwise(
-        F.col("first_completion").cast("string")
-    )
-    completion = F.coalesce(F.col("key"), F.col("last_completion").cast("string"))
-    if "r23" in wanted:
-        admissions = mother_admissions(run).withColumn("use", F.lit("bcg"))
-        done = done.join(
-            admissions.withColumn("known", F.lit(True)), ["person_id", "use"], "left"
-        ).where((F.col("use") != "bcg") | F.col("known"))
-        registration = F.when(F.col("use") == "bcg", F.col("admission")).otherwise(registration)
     rule = F.create_map(*(F.lit(x) for rule, use in wanted.items() for x in (use, rule)))
-    on_time = ~F.col("use").isin("primary", "booster") | run.on_days("last_completion")
-    return done.where(on_time).select(
-        rule[F.col("use")].alias("rule"),
-        "person_id",
-        completion.alias("completion"),
-        registration.alias("registration"),
-        F.lit(None).cast("string").alias("latest"),
-        F.when(F.col("use").isin("primary", "booster"), F.col("items")).alias("items"),
+    by_day = F.col("use") == "dpt2"
+    completion, registration = (
+        F.when(by_day, F.col("key")).otherwise(F.col(side).cast("string"))
+        for side in ("last_completion", "first_completion")
+    )
+    return (
+        vaccinations(run, list(wanted.values()))
+        .where(by_day | run.on_days("last_completion"))
+        .select(
+            rule[F.col("use")].alias("rule"),
+            "person_id",
+            completion.alias("completion"),
+            registration.alias("registration"),
+            F.when(~by_day, F.col("items")).alias("items"),
+        )
     )

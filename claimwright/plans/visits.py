@@ -17,10 +17,20 @@ LAST_VISIT = {"anc": 8, "hbnc": 7, "hbyc": 5}
 # Visits a kind is pivoted to. Antenatal visits are pivoted whole, because abortion rows
 # shift which encounter is the nth visit.
 PIVOTED = {"anc": (1, 2, 3, 4, 5, 6, 7, 8), "hbnc": (1, 2, 3, 6, 7), "hbyc": (5,)}
-# Visits whose second columns (tablets issued, place and type of delivery) a rule reads.
-PIVOTED_NOTES = {"anc": (1, 2), "hbnc": (6, 7), "hbyc": ()}
 # Visits that can complete a rule; a person without one of them in the period earns nothing.
 COMPLETING = {"anc": (1, 2, 3, 4, 5, 6, 7, 8), "hbnc": (6, 7), "hbyc": (5,)}
+# What else a rule asks of a visit, as flags. The place test of the sixth newborn visit
+# passes for every known place: it is "not home or not in transit".
+FLAGS = {
+    "anc": {"tablets": ((1, 2), "note = 'Yes'")},
+    "hbnc": {
+        "normal": ((6,), "note is not null and mode <> 'C-section'"),
+        "section": ((6,), "note is not null and mode = 'C-section'"),
+        "outside": ((7,), "note in ('Home', 'In-transit')"),
+    },
+    "hbyc": {},
+}
+
 
 def visit_order() -> list[Column]:
     """Earliest first, unknown times last, the encounter id deciding ties."""
@@ -154,16 +164,15 @@ def _pivoted(run: Run, kinds: list[str]) -> DataFrame:
         max(LAST_VISIT[kind] for kind in kinds),
     )
 
-    def pick(kind: str, n: int, column: str, name: str) -> Column:
-        return F.expr(
-            f"max(case when kind = '{kind}' and nth = {n} then {column} end) as {kind}_{name}_{n}"
-        )
+    def pick(kind: str, n: int, value: str, name: str) -> Column:
+        here = f"kind = '{kind}' and nth = {n}"
+        return F.expr(f"max(case when {here} then {value} end) as {kind}_{name}_{n}")
 
     picks = []
     for kind in kinds:
         picks += [pick(kind, n, "cast(at as date)", "day") for n in PIVOTED[kind]]
-        picks += [pick(kind, n, "note", "note") for n in PIVOTED_NOTES[kind]]
-        picks += [pick(kind, n, "mode", "mode") for n in PIVOTED_NOTES[kind]]
+        for flag, (numbers, test) in FLAGS[kind].items():
+            picks += [pick(kind, n, test, flag) for n in numbers]
     wide = numbered.groupBy("worker_id", "person_id").agg(*picks)
 
     completing = " or ".join(
@@ -190,30 +199,21 @@ def nth_visit_claims(run: Run, rules: set[str]) -> DataFrame | None:
     kinds = sorted(set().union(*(kinds_of[rule] for rule in wanted)))
 
     def anc(n: int, name: str = "day") -> str:
-        pivoted = PIVOTED if name == "day" else PIVOTED_NOTES
-        values = ", ".join(f"anc_{name}_{i}" for i in pivoted["anc"])
+        numbers = PIVOTED["anc"] if name == "day" else FLAGS["anc"][name][0]
+        values = ", ".join(f"anc_{name}_{i}" for i in numbers)
         return f"get(array({values}), {_encounter_of(n)} - 1)"
 
     def dated(name: str) -> str:
         return f"case when {on_days_sql(name, run.params)} then {name} end"
 
-    # Completion day, registration day and what else has to hold. The place test of the
-    # sixth visit passes for every known place: it is "not home or not in transit".
+    # Completion day, registration day and what else has to hold.
     claims = {
         "r01": (anc(4), anc(1), "true"),
-        "r02": (anc(4), anc(2), f"{anc(2, 'note')} = 'Yes'"),
+        "r02": (anc(4), anc(2), anc(2, "tablets")),
         "r06": (anc(8), anc(1), "true"),
-        "r18": (
-            "hbnc_day_6",
-            dated("hbnc_day_2"),
-            "hbnc_note_6 is not null and hbnc_mode_6 <> 'C-section'",
-        ),
-        "r19": (
-            "hbnc_day_6",
-            dated("hbnc_day_3"),
-            "hbnc_note_6 is not null and hbnc_mode_6 = 'C-section'",
-        ),
-        "r20": ("hbnc_day_7", dated("hbnc_day_1"), "hbnc_note_7 in ('Home', 'In-transit')"),
+        "r18": ("hbnc_day_6", dated("hbnc_day_2"), "hbnc_normal_6"),
+        "r19": ("hbnc_day_6", dated("hbnc_day_3"), "hbnc_section_6"),
+        "r20": ("hbnc_day_7", dated("hbnc_day_1"), "hbnc_outside_7"),
         "r21": ("hbyc_day_5", dated("hbnc_day_1"), "true"),
     }
 
