@@ -90,8 +90,8 @@ class WorkerScope:
         df = self._worker_of(df, "last_modified_by_id", "modifier")
         return df.where(F.col("worker_id") == F.col("modifier")).drop("modifier")
 
-    def created_or_modified(self, df: DataFrame) -> DataFrame:
-        """Rows created or last modified by a worker, with ``workers``.
+    def with_workers(self, df: DataFrame) -> DataFrame:
+        """Add ``workers``, those who created or last modified the row; it may be empty.
 
         Each entry has the worker and the number of its user rows that match: an OR join
         meets both the creator's and the modifier's row when they differ.
@@ -103,9 +103,8 @@ class WorkerScope:
             copies = by_creator.cast("int") + (
                 by_modifier & ~modified.eqNullSafe(created)
             ).cast("int")
-            return df.where(created.isin(self.ids) | modified.isin(self.ids)).withColumn(
-                "workers", F.array(_worker(self._only_worker, copies)).cast(WORKERS_TYPE)
-            )
+            only = F.array(_worker(self._only_worker, copies)).cast(WORKERS_TYPE)
+            return df.withColumn("workers", F.when(copies > 0, only).otherwise(_nobody()))
         df = self._worker_of(df, "created_by_id", "creator")
         df = self._worker_of(df, "last_modified_by_id", "modifier")
         creator, modifier = F.col("creator"), F.col("modifier")
@@ -116,16 +115,21 @@ class WorkerScope:
                 F.when(modifier.isNotNull(), _worker(modifier, F.lit(1))),
             )
         )
-        return (
-            df.withColumn(
-                "workers",
-                F.when(creator == modifier, both.cast(WORKERS_TYPE)).otherwise(
-                    each.cast(WORKERS_TYPE)
-                ),
-            )
-            .where(F.size("workers") > 0)
-            .drop("creator", "modifier")
+        workers = F.when(creator == modifier, both.cast(WORKERS_TYPE)).otherwise(
+            each.cast(WORKERS_TYPE)
         )
+        return df.withColumn("workers", workers).drop("creator", "modifier")
+
+    def created_or_modified(self, df: DataFrame) -> DataFrame:
+        """Rows created or last modified by a worker, with their ``workers``."""
+        if self.ids is not None:
+            # The plain test reaches the scan.
+            df = df.where(
+                F.col("created_by_id").isin(self.ids) | F.col("last_modified_by_id").isin(self.ids)
+            )
+            return self.with_workers(df)
+        known = F.col("created_by_id").isNotNull() | F.col("last_modified_by_id").isNotNull()
+        return self.with_workers(df.where(known))
 
     def modified(self, df: DataFrame) -> DataFrame:
         """Rows last modified by a worker, with its ``worker_id``."""
@@ -146,5 +150,9 @@ class WorkerScope:
         return F.lit(min(self.ids) if self.ids else None).cast("bigint")
 
 
+def _nobody() -> Column:
+    return F.array().cast(WORKERS_TYPE)
+
+
 def _worker(worker_id: Column, copies: Column) -> Column:
     return F.struct(worker_id.alias("worker_id"), copies.alias("copies"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimwright.functions.ages import full_years
-from claimwright.functions.periods import day_text, live
+from claimwright.functions.periods import day_text
 from claimwright.plans import family, tuberculosis, vaccines, visits
 from claimwright.plans.run import Run, union_all, variants
 
@@ -113,12 +113,9 @@ def _encephalitis(run: Run) -> DataFrame:
 
 
 def _visit_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
+    """Tuples whose worker is the visit's."""
     frames = [visits.nth_visit_claims(run, rules), visits.td_claims(run, rules)]
-    return [
-        df.select("worker_id", "rule", "completion", "registration", _no_day("latest"))
-        for df in frames
-        if df is not None
-    ]
+    return [df for df in frames if df is not None]
 
 
 def _person_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
@@ -137,12 +134,12 @@ def _person_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
         "r26": tuberculosis.confirmed_cases,
     }
     frames = []
-    events = [_with_columns(build(run)) for rule, build in repeated.items() if rule in rules]
+    events = [build(run).select(*_KEYS) for rule, build in repeated.items() if rule in rules]
     if events:
         frames.append(union_all(events).distinct())
-    frames += [_with_columns(build(run)) for rule, build in distinct.items() if rule in rules]
+    frames += [build(run) for rule, build in distinct.items() if rule in rules]
     frames += [
-        _with_columns(df)
+        df
         for df in (
             family.method_after_delivery(run, rules),
             tuberculosis.treatment_claims(run, rules),
@@ -150,27 +147,64 @@ def _person_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
         )
         if df is not None
     ]
-    if not frames:
-        return []
-    tuples = union_all(frames)
-    met = tuples.join(run.people_of_workers(), "person_id").select(
-        "*", F.explode("workers").alias("w")
-    )
-    return [
-        met.where(_person_qualifies(run, rules)).select(
-            F.col("w.worker_id").alias("worker_id"), "rule", "completion", "registration", "latest"
+    return frames
+
+
+def _scheme_tuples(run: Run) -> DataFrame:
+    """r07: days of scheme visits, whoever made them; the visit itself may be voided."""
+    rows = run.tables["anc"].where((F.col("pmsma") == "Yes") & run.on_days("encounter_date_time"))
+    return _on_one_day("r07", rows, day_text("encounter_date_time")).distinct()
+
+
+def _people_lines(run: Run, rules: set[str]) -> DataFrame:
+    """Lines of the rules on the people themselves: the people are counted as they are read."""
+    sterilised = F.col("date_of_sterilization").cast("string")
+    in_period = run.on_days("date_of_sterilization")
+    choices = [
+        (test, F.struct(F.lit(rule).alias("rule"), day.alias("day")))
+        for rule, test, day in (
+            ("r05", run.at_instants("date_of_death"), day_text("date_of_death")),
+            ("r08", (F.col("gender") == "Female") & in_period, sterilised),
+            ("r09", (F.col("gender") == "Male") & in_period, sterilised),
         )
+        if rule in rules
     ]
+    return (
+        run.tables["individual"]
+        .select(variants(*choices).alias("c"))
+        .select(
+            F.lit(None).cast("bigint").alias("worker_id"),
+            "c.rule",
+            F.col("c.day").alias("completion"),
+            F.col("c.day").alias("registration"),
+            _no_day("latest"),
+        )
+    )
+
+
+_OPTIONAL = {"worker_id": "bigint", "latest": "date", "items": "bigint"}
 
 
 def _with_columns(df: DataFrame) -> DataFrame:
-    latest = F.col("latest") if "latest" in df.columns else _no_day("latest")
-    items = F.col("items") if "items" in df.columns else F.lit(None).cast("bigint").alias("items")
-    return df.select(*_KEYS, latest, items)
+    present = set(df.columns)
+    optional = [
+        F.col(name) if name in present else F.lit(None).cast(kind).alias(name)
+        for name, kind in _OPTIONAL.items()
+    ]
+    return df.select(*_KEYS, *optional)
+
 
+def _met_people(run: Run, rules: set[str], tuples: DataFrame) -> DataFrame:
+    """Tuples of qualifying people with the worker they are credited to.
+
+    One join serves every rule: it tells whether the person is live, how old, and who the
+    workers are where the rule goes by the person.
+    """
+    by_person = sorted(rule for rule in rules if RULES[rule].scope is Scope.EITHER)
+    people = run.people(everyone=len(by_person) < len(rules))
+    own = F.expr("array(named_struct('worker_id', worker_id, 'copies', 1))")
+    credited = F.when(F.col("rule").isin(by_person), F.col("workers")).otherwise(own)
 
-def _person_qualifies(run: Run, rules: set[str]) -> Column:
-    """Conditions that need the person or the worker's copies of it."""
     voided_too = sorted(rule for rule in rules if not RULES[rule].live_people)
     qualifies = F.col("is_live") | F.col("rule").isin(voided_too)
     age = full_years(run.params.today, F.col("date_of_birth"))
@@ -179,48 +213,14 @@ def _person_qualifies(run: Run, rules: set[str]) -> Column:
         qualifies = qualifies & ((F.col("rule") != "r15") | ((items == 5) & (age <= 1)))
     if "r16" in rules:
         qualifies = qualifies & ((F.col("rule") != "r16") | ((items >= 4) & (age <= 2)))
-    return qualifies
-
-
-def _unscoped_tuples(run: Run, rules: set[str]) -> list[DataFrame]:
-    """Tuples that no worker is checked for; ``worker_id`` is null."""
-    frames = []
-    choices = []
-    sterilised = F.col("date_of_sterilization").cast("string")
-    in_period = run.on_days("date_of_sterilization")
-    for rule, test, day in (
-        ("r05", run.at_instants("date_of_death"), day_text("date_of_death")),
-        ("r08", (F.col("gender") == "Female") & in_period, sterilised),
-        ("r09", (F.col("gender") == "Male") & in_period, sterilised),
-    ):
-        if rule in rules:
-            choices.append((test, F.struct(F.lit(rule).alias("rule"), day.alias("day"))))
-    if choices:
-        people = run.tables["individual"]
-        frames.append(people.select(variants(*choices).alias("c")).select("c.rule", "c.day"))
-    if "r07" in rules:
-        rows = run.tables["anc"].where(
-            (F.col("pmsma") == "Yes") & run.on_days("encounter_date_time")
-        )
-        frames.append(
-            rows.select(
-                F.col("individual_id").alias("person_id"),
-                day_text("encounter_date_time").alias("day"),
-            )
-            .distinct()
-            .join(run.live_people(), "person_id")
-            .select(F.lit("r07").alias("rule"), "day")
-        )
-    return [
-        df.select(
-            F.lit(None).cast("bigint").alias("worker_id"),
-            "rule",
-            F.col("day").alias("completion"),
-            F.col("day").alias("registration"),
-            _no_day("latest"),
+    return (
+        tuples.join(people, "person_id")
+        .select("*", F.explode(credited).alias("w"))
+        .where(qualifies)
+        .select(
+            F.col("w.worker_id").alias("worker_id"), "rule", "completion", "registration", "latest"
         )
-        for df in frames
-    ]
+    )
 
 
 def _no_day(name: str) -> Column:
@@ -231,11 +231,17 @@ def priced_lines(run: Run, rules: list[str]) -> DataFrame:
     """Claim lines of the given rules: ``worker_id`` (null for unscoped rules), ``rule`` and LINE_COLUMNS."""
     priced = {rule: SAME_TUPLES.get(rule, rule) for rule in rules}
     evaluated = set(priced.values())
-    tuples = union_all(
-        _visit_tuples(run, evaluated)
-        + _person_tuples(run, evaluated)
-        + _unscoped_tuples(run, evaluated)
-    )
+    frames = _visit_tuples(run, evaluated) + _person_tuples(run, evaluated)
+    if "r07" in evaluated:
+        frames.append(_scheme_tuples(run))
+    on_people = evaluated & {"r05", "r08", "r09"}
+    credited = []
+    if frames:
+        tuples = union_all([_with_columns(df) for df in frames])
+        credited.append(_met_people(run, evaluated - on_people, tuples))
+    if on_people:
+        credited.append(_people_lines(run, on_people))
+    tuples = union_all(credited)
     counted = tuples.groupBy("worker_id", "rule", "completion", "registration").agg(
         F.count("*").alias("beneficiary_count"), F.max("latest").alias("latest")
     )

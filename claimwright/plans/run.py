@@ -36,15 +36,20 @@ class Run:
             .select(F.col("id").alias("person_id"))
         )
 
-    def people_of_workers(self) -> DataFrame:
-        """People created or last modified by a worker, with their ``workers``."""
-        return self.scope.created_or_modified(self.tables["individual"]).select(
+    def people(self, everyone: bool = True) -> DataFrame:
+        """People with their ``workers``; without ``everyone`` only those who have some."""
+        scoped = self.scope.with_workers if everyone else self.scope.created_or_modified
+        return scoped(self.tables["individual"]).select(
             F.col("id").alias("person_id"),
             F.coalesce(live(F.col("is_voided")), F.lit(False)).alias("is_live"),
             "date_of_birth",
             "workers",
         )
 
+    def people_of_workers(self) -> DataFrame:
+        """People created or last modified by a worker."""
+        return self.people(everyone=False)
+
     @cached_property
     def _ids_of_one_worker(self) -> DataFrame | None:
         if self.scope.ids is None:

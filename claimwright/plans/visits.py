@@ -178,12 +178,16 @@ def _pivoted(run: Run, kinds: list[str]) -> DataFrame:
     completing = " or ".join(
         on_days_sql(f"{kind}_day_{n}", run.params) for kind in kinds for n in COMPLETING[kind]
     )
-    wide = wide.where(completing).join(run.live_people(), "person_id")
+    wide = wide.where(completing)
     return _with_copies(run, wide) if "anc" in kinds else wide
 
 
 def nth_visit_claims(run: Run, rules: set[str]) -> DataFrame | None:
-    """Claim tuples of the rules that pair one visit with an earlier one."""
+    """Claim tuples of the rules that pair one visit with an earlier one.
+
+    That the person is live is left to the join with the people: a voided person has no
+    visit that would change another person's numbers.
+    """
     kinds_of = {
         "r01": {"anc"},
         "r02": {"anc"},
@@ -230,6 +234,7 @@ def nth_visit_claims(run: Run, rules: set[str]) -> DataFrame | None:
         .select(
             "worker_id",
             F.col("c.rule").alias("rule"),
+            "person_id",
             day_text("c.done").alias("completion"),
             day_text("c.registered").alias("registration"),
         )
@@ -283,7 +288,7 @@ def td_claims(run: Run, rules: set[str]) -> DataFrame | None:
     second, booster = "r03" in rules, "r04" in rules
     if not (second or booster):
         return None
-    doses = period_td_doses(run, second, booster).join(run.live_people(), "person_id")
+    doses = period_td_doses(run, second, booster)
     registered = F.col("day")
     if second:
         firsts = first_td_doses(run).select(
@@ -298,6 +303,7 @@ def td_claims(run: Run, rules: set[str]) -> DataFrame | None:
     return doses.withColumn("registered", registered).select(
         "worker_id",
         rule.alias("rule"),
+        "person_id",
         day_text("day").alias("completion"),
         day_text("registered").alias("registration"),
     )
