@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,13 @@ class Run:
         self.tables = tables
         self.params = params
         self.scope = WorkerScope(tables["users"], params.username)
+        self._lookups: dict[str, DataFrame] = {}
+
+    def lookup(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A small table used by several rules: built, and its size checked, once."""
+        if name not in self._lookups:
+            self._lookups[name] = broadcast_if_small(build())
+        return self._lookups[name]
 
     def on_days(self, name: str) -> Column:
         return on_days(name, self.params)

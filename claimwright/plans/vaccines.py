@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from claimwright.functions.ages import full_years
 from claimwright.functions.periods import day_text, live, neither_nor_as_written
-from claimwright.operators.sizing import broadcast_if_small
 from claimwright.plans.run import Run, variants
 
 # Vaccine names of the two series.
@@ -34,17 +33,21 @@ def checklist_owners(run: Run) -> DataFrame:
     return checklists.join(enrolments, "program_enrolment_id").drop("program_enrolment_id")
 
 
-def named_details(run: Run, names: set[str]) -> DataFrame:
-    """Checklist item details of the given vaccines; a handful of rows, checked before use."""
-    concepts = (
-        run.tables["concept"]
-        .where(F.col("name").isin(sorted(names)))
-        .select(F.col("id").alias("concept_id"), F.col("name").alias("vaccine"))
-    )
-    details = run.tables["checklist_item_detail"].select(
-        F.col("id").alias("checklist_item_detail_id"), "concept_id"
-    )
-    return broadcast_if_small(details.join(concepts, "concept_id").drop("concept_id"))
+def named_details(run: Run) -> DataFrame:
+    """Checklist item details of the vaccines; a handful of rows, checked before use."""
+
+    def build() -> DataFrame:
+        concepts = (
+            run.tables["concept"]
+            .where(F.col("name").isin(*PRIMARY, *BOOSTER))
+            .select(F.col("id").alias("concept_id"), F.col("name").alias("vaccine"))
+        )
+        details = run.tables["checklist_item_detail"].select(
+            F.col("id").alias("checklist_item_detail_id"), "concept_id"
+        )
+        return details.join(concepts, "concept_id").drop("concept_id")
+
+    return run.lookup("vaccine details", build)
 
 
 def completed_items(run: Run, names: set[str]) -> DataFrame:
@@ -53,7 +56,8 @@ def completed_items(run: Run, names: set[str]) -> DataFrame:
         run.tables["checklist_item"]
         .where(F.col("completion_date").isNotNull())
         .select("checklist_id", "checklist_item_detail_id", "completion_date")
-        .join(named_details(run, names), "checklist_item_detail_id")
+        .join(named_details(run), "checklist_item_detail_id")
+        .where(F.col("vaccine").isin(sorted(names)))
         .drop("checklist_item_detail_id")
     )
 
