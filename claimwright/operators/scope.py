@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.operators.sizing import broadcast_if_small, fits
+from claimwright.operators.sizing import broadcast_if_small
 
 # User rows sharing one username that are still pushed to the scans as a list of ids.
 MAX_ACCOUNTS = 1_000
@@ -20,7 +20,8 @@ class WorkerScope:
 
     A worker is a username; its ``worker_id`` is the smallest user id under that name.
     For one worker the user ids become literals, so they reach the parquet scans as
-    filters. For all workers no join is needed unless some username has several rows.
+    filters; a username with too many of them is joined instead. For all workers no join
+    is needed unless some username has several rows.
     """
 
     def __init__(self, users: DataFrame, username: str | None) -> None:
@@ -61,7 +62,7 @@ class WorkerScope:
             .where(F.col("accounts") > 1)
             .select("username", "worker_id")
         )
-        if fits(shared, 0):
+        if shared.isEmpty():
             return None
         aliases = (
             self.users.join(shared, "username")
@@ -88,7 +89,7 @@ class WorkerScope:
             ).withColumn("worker_id", self._only_worker)
         df = self._worker_of(df, "created_by_id", "worker_id")
         df = self._worker_of(df, "last_modified_by_id", "modifier")
-        return df.where(F.col("worker_id") == F.col("modifier")).drop("modifier")
+        return self._wanted(df.where(F.col("worker_id") == F.col("modifier")).drop("modifier"))
 
     def with_workers(self, df: DataFrame) -> DataFrame:
         """Add ``workers``, those who created or last modified the row; it may be empty.
@@ -118,6 +119,9 @@ class WorkerScope:
         workers = F.when(creator == modifier, both.cast(WORKERS_TYPE)).otherwise(
             each.cast(WORKERS_TYPE)
         )
+        if self.username is not None:
+            only = self._only_worker
+            workers = F.filter(workers, lambda w: w["worker_id"] == only)
         return df.withColumn("workers", workers).drop("creator", "modifier")
 
     def created_or_modified(self, df: DataFrame) -> DataFrame:
@@ -137,17 +141,24 @@ class WorkerScope:
             return df.where(F.col("last_modified_by_id").isin(self.ids)).withColumn(
                 "worker_id", self._only_worker
             )
-        return self._worker_of(df, "last_modified_by_id", "worker_id").where(
-            F.col("worker_id").isNotNull()
-        )
+        df = self._worker_of(df, "last_modified_by_id", "worker_id")
+        return self._wanted(df.where(F.col("worker_id").isNotNull()))
 
     def named(self, df: DataFrame) -> DataFrame:
         """Keep the rows of known workers and add the username as ``worker``."""
         return df.join(self.workers, "worker_id")
 
+    def _wanted(self, df: DataFrame) -> DataFrame:
+        """Rows of the one worker, or all rows of a run over all workers."""
+        return df if self.username is None else df.where(F.col("worker_id") == self._only_worker)
+
     @property
     def _only_worker(self) -> Column:
-        return F.lit(min(self.ids) if self.ids else None).cast("bigint")
+        if self.ids is not None:
+            only = min(self.ids) if self.ids else None
+        else:
+            only = self.workers.first().worker_id
+        return F.lit(only).cast("bigint")
 
 
 def _nobody() -> Column:

@@ -86,8 +86,13 @@ def or_join(tables, on):
     return rows.groupBy("username", "id").count()
 
 
+@pytest.fixture(params=[1000, 0], ids=["ids pushed", "ids joined"])
+def accounts(request, monkeypatch):
+    monkeypatch.setattr("claimwright.operators.scope.MAX_ACCOUNTS", request.param)
+
+
 @pytest.mark.parametrize("username", [None, "anu", "bina", "nobody"])
-def test_either_scope_equals_the_or_join_with_shared_usernames(spark, username):
+def test_either_scope_equals_the_or_join_with_shared_usernames(spark, accounts, username):
     tables = people(spark)
     scope = WorkerScope(tables["users"], username)
     rows = scope.created_or_modified(tables["individual"]).select("id", F.explode("workers").alias("w"))
@@ -99,7 +104,7 @@ def test_either_scope_equals_the_or_join_with_shared_usernames(spark, username):
 
 
 @pytest.mark.parametrize("username", [None, "anu", "bina", "nobody"])
-def test_both_scope_compares_usernames(spark, username):
+def test_both_scope_compares_usernames(spark, accounts, username):
     tables = people(spark)
     scope = WorkerScope(tables["users"], username)
     got = scope.named(scope.created_and_modified(tables["individual"])).select("worker", "id")
