@@ -89,8 +89,11 @@ _KEYS = ("rule", "person_id", "completion", "registration")
 
 def _on_one_day(rule: str, rows: DataFrame, day: Column) -> DataFrame:
     """Tuples of a rule whose completion and registration are the same day."""
-    return rows.select(F.lit(rule).alias("rule"), F.col("individual_id").alias("person_id"), day.alias("day")).select(
-        "rule", "person_id", F.col("day").alias("completion"), F.col("day").alias("registration")
+    return rows.select("individual_id", day.alias("day")).select(
+        F.lit(rule).alias("rule"),
+        F.col("individual_id").alias("person_id"),
+        F.col("day").alias("completion"),
+        F.col("day").alias("registration"),
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,21 +58,22 @@ class Run:
         """People created or last modified by a worker."""
         return self.people(everyone=False)
 
-    @cached_property
-    def _ids_of_one_worker(self) -> DataFrame | None:
-        if self.scope.ids is None:
-            return None
-        people = self.people_of_workers().select(F.col("person_id").alias("narrow_id"))
-        return broadcast_if_small(people)
+    @property
+    def for_one_worker(self) -> bool:
+        """The run covers one worker, whose user ids are known."""
+        return self.scope.ids is not None
 
     def narrow(self, df: DataFrame, person: str = "individual_id") -> DataFrame:
         """For one worker, keep the rows of the worker's own people before any shuffle.
 
         Only a shortcut: the rules join the people themselves later on.
         """
-        if self._ids_of_one_worker is None:
+        if not self.for_one_worker:
             return df
-        return df.join(self._ids_of_one_worker, F.col(person) == F.col("narrow_id"), "left_semi")
+        ids = self.lookup(
+            "people", lambda: self.people_of_workers().select(F.col("person_id").alias("narrow_id"))
+        )
+        return df.join(ids, F.col(person) == F.col("narrow_id"), "left_semi")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimwright.functions.ages import full_years
-from claimwright.functions.periods import day_text, live, neither_nor_as_written
+from claimwright.functions.periods import day_text, neither_nor_as_written
 from claimwright.plans.run import Run, variants
 
 # Vaccine names of the two series.
@@ -21,16 +21,28 @@ USES = {"primary": PRIMARY, "booster": BOOSTER, "dpt2": ("DPT Booster 2",)}
 
 
 def checklist_owners(run: Run) -> DataFrame:
-    """Checklist, the person it belongs to and whether the enrolment has ended."""
-    enrolments = run.narrow(run.tables["child"]).select(
-        F.col("id").alias("program_enrolment_id"),
-        F.col("individual_id").alias("person_id"),
-        F.col("program_exit_date_time").isNotNull().alias("exited"),
-    )
-    checklists = run.tables["checklist"].select(
-        F.col("id").alias("checklist_id"), "program_enrolment_id"
-    )
-    return checklists.join(enrolments, "program_enrolment_id").drop("program_enrolment_id")
+    """Checklist, the person it belongs to and whether the enrolment has ended.
+
+    For one worker these are few: once that is checked, the items are cut down to them
+    where they are read.
+    """
+
+    def enrolments() -> DataFrame:
+        return run.narrow(run.tables["child"]).select(
+            F.col("id").alias("program_enrolment_id"),
+            F.col("individual_id").alias("person_id"),
+            F.col("program_exit_date_time").isNotNull().alias("exited"),
+        )
+
+    def owners(enrolled: DataFrame) -> DataFrame:
+        checklists = run.tables["checklist"].select(
+            F.col("id").alias("checklist_id"), "program_enrolment_id"
+        )
+        return checklists.join(enrolled, "program_enrolment_id").drop("program_enrolment_id")
+
+    if not run.for_one_worker:
+        return owners(enrolments())
+    return run.lookup("owners", lambda: owners(run.lookup("enrolments", enrolments)))
 
 
 def named_details(run: Run) -> DataFrame:

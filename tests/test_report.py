@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from claimwright.operators.numbering import number_rows
 from claimwright.plans import report, visits
 from claimwright.plans.rules import LINE_COLUMNS, RULES
 from claimwright.plans.run import Run

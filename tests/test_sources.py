@@ -110,6 +110,17 @@ def test_without_broadcasts_only_checked_lookups_are_broadcast(spark, stored):
     assert "SortMergeJoin" in plan
 
 
+def test_one_workers_checklist_items_are_not_shuffled_to_the_checklists(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = executed(report.claims(Run(stored, replace(registry.WIDE, username=WORKER)), ["r15"]))
+        everyone = executed(report.claims(Run(stored, registry.WIDE), ["r15"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"BroadcastHashJoin \[checklist_id", one)
+    assert re.search(r"SortMergeJoin \[checklist_id", everyone)
+
+
 def test_every_rule_plans_without_python(stored):
     run = Run(stored, registry.WIDE)
     assert "Python" not in executed(report.claims(run, list(RULES)))
