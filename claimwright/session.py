@@ -32,6 +32,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         # Call sites in error messages cost a stack walk per column.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -8,8 +8,8 @@ import __spark_entry__ as registry
 from tests.compare import differences, oracle_connection
 
 SF = "/root/testdata/sf0.01"
-QUERIES = registry.queries()
-ORACLE = registry.oracle_sql()
+QUERIES = registry.claims_queries()
+ORACLE = registry.claims_sql()
 
 
 @pytest.fixture(scope="module")
