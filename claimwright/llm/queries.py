@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwright.llm import quality, rules, topk, toxicity
+from claimwright.llm import bpe_digests, id_files, quality, rules, token_groups, topk, toxicity
+from claimwright.llm.bpe import Vocabulary
 from claimwright.llm.storage import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,11 +29,26 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rule_ledger(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_groups.similar_components(_table(spark, sf_dir, "documents"), 3, 90)
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    vocabulary = Vocabulary.read(path, public_tokenizers.PATTERN)
+    return bpe_digests.round_trips(_table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return id_files.id_files(_table(spark, sf_dir, "documents"), path, 2)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -41,7 +58,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_rule_ledger": op2_rule_ledger,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_exact_topk": op5_exact_topk,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op9_id_files": op9_id_files,
     "op10_quality": op10_quality,
 }
 

@@ -56,15 +56,30 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder; later reads survive lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: for wide tables read by column."""
+    """``df`` computed once and kept as a Parquet table in the shared folder.
+
+    Cuts the lineage: later reads do not depend on any executor. The tables stay until
+    ``remove_written`` or until the folder is cleared.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written_paths(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session, once their results are stored."""
+    paths = _written_paths(spark)
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    paths.clear()
+
+
+def _written_paths(spark: SparkSession) -> list[str]:
+    context = spark.sparkContext
+    if not hasattr(context, "_claimwright_written"):
+        context._claimwright_written = []
+    return context._claimwright_written

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from claimwright.llm.labelled import fold, positive_unlabelled_sample, with_computed
 from claimwright.llm.pu import Network, fit
-from claimwright.llm.storage import pinned
+from claimwright.llm.storage import written
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
@@ -115,7 +115,9 @@ def fit_toxicity(
     def split(batch: list) -> list[pa.Array]:
         return [pa.array([sorted(marks_of(t)) for t in batch], pa.list_(pa.binary()))]
 
-    drawn = pinned(with_computed(texts, ["doc_id", "positive"], "text", [field], split))
+    drawn = written(
+        with_computed(texts, ["doc_id", "positive"], "text", [field], split), "toxicity-sample"
+    )
     words = {word: k for k, word in enumerate(telling_words(drawn, prior, max_words, least))}
     if not words:
         return None
