@@ -33,7 +33,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 # Bounds of what a worker keeps; encoding does not depend on them.
 MAX_STATES = 80_000
 MAX_PAIRS = 400_000
-MAX_CHUNKS = 200_000
+MAX_CHUNKS = 450_000
 
 
 def newer_letters() -> str:

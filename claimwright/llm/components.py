@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimwright.llm.storage import written
@@ -72,13 +74,20 @@ def star_pairs(buckets: DataFrame, key: str, member: str) -> DataFrame:
     )
 
 
-def split_pairs(buckets: DataFrame, key: str, member: str) -> DataFrame:
-    """``first, other``: members of one bucket that are not in one ``component`` yet.
+def split_pairs(
+    buckets: DataFrame,
+    key: str,
+    member: str,
+    describing: list[str],
+    near: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+) -> DataFrame:
+    """``first, other``: members of one bucket that may link different ``component``s.
 
-    Buckets whose members are all connected, and pairs within a component, need no further
-    comparison: another link there changes nothing.
+    Buckets whose rows are all connected, and pairs within a component, need no further
+    comparison: another link there changes nothing. ``near`` tests the ``describing``
+    columns of two rows; what it rules out cannot link.
     """
-    rows = buckets.select(key, member, "component").distinct()
+    rows = buckets.select(key, member, "component", *describing).distinct()
     apart = (
         rows.groupBy(key)
         .agg(F.min("component").alias("least"), F.max("component").alias("most"))
@@ -87,13 +96,17 @@ def split_pairs(buckets: DataFrame, key: str, member: str) -> DataFrame:
     )
     left = rows.join(apart, key)
     right = left.select(
-        key, F.col(member).alias("other"), F.col("component").alias("other_component")
+        key, *(F.col(name).alias(f"other_{name}") for name in [member, "component", *describing])
+    )
+    may_link = (F.col("component") < F.col("other_component")) & near(
+        F.col, lambda name: F.col(f"other_{name}")
     )
     return (
         left.join(right, key)
-        .where((F.col("component") < F.col("other_component")) & (F.col(member) != F.col("other")))
+        .where(may_link & (F.col(member) != F.col(f"other_{member}")))
         .select(
-            F.least(member, "other").alias("first"), F.greatest(member, "other").alias("other")
+            F.least(member, f"other_{member}").alias("first"),
+            F.greatest(member, f"other_{member}").alias("other"),
         )
         .distinct()
     )

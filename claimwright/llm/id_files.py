@@ -30,7 +30,8 @@ from claimwright.llm.perfect_hash import PerfectHash, fingerprints, mixed
 from claimwright.llm.storage import shared_folder, written
 
 MAGIC = b"CWIDS001"
-MAX_WORDS = 250_000
+MAX_WORDS = 500_000
+MAX_PIECES = 250_000
 
 # White space of the tokenizer's patterns, a word's end, its special tokens.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -58,8 +59,9 @@ class WordEncoder:
         self._odd = re.compile("[\x1c-\x1f]")
         self._words = re.compile(f"[^{WHITE}]+").findall
         self._latin = re.compile("[\x00-\u024f]*").fullmatch
-        self._pieces = regex.compile(PIECES).findall
+        self._split_latin = regex.compile(PIECES).findall
         self.known = Memo(self._alone, MAX_WORDS)
+        self.pieces = Memo(self._alone, MAX_PIECES)
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -67,23 +69,35 @@ class WordEncoder:
     def _alone(self, word: str) -> bytes:
         return self._packed(self.library.encode(word, add_special_tokens=False).ids)
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of many words by one call: each ends in the one token that ends a piece."""
-        pieces = [self._piece_count(word) for word in words]
+    def _learn(self, words: list[str]) -> None:
+        """Ids of many new words, from those of their pieces."""
+        split = [self._pieces_of(word) for word in words]
+        unknown = {
+            piece: None for pieces in split for piece in pieces if piece not in self.pieces
+        }
+        fresh = [piece for piece in unknown if piece not in self.pieces.old]
+        found = dict(zip(fresh, self._of_pieces(fresh))) if fresh else {}
+        for word, pieces in zip(words, split):
+            ids = b"".join([found.get(p) or self.pieces[p] for p in pieces])
+            self.known.put(word, ids)
+        for piece, ids in found.items():
+            self.pieces.put(piece, ids)
+
+    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """One call for many pieces: the ids of each end in a token that ends a word."""
         ids = np.array(
-            self.library.encode(" ".join(words), add_special_tokens=False).ids, dtype=self.dtype
+            self.library.encode(" ".join(pieces), add_special_tokens=False).ids, dtype=self.dtype
         )
         ends = np.flatnonzero(self._ends[ids]) + 1
-        if len(ends) != sum(pieces):
-            return {word: self._alone(word) for word in words}
-        cuts = np.r_[0, np.r_[0, ends][np.cumsum(pieces)]]
-        return {word: ids[a:b].tobytes() for word, a, b in zip(words, cuts[:-1], cuts[1:])}
+        if len(ends) != len(pieces):
+            return [self._alone(piece) for piece in pieces]
+        size = self.dtype.itemsize
+        packed, cuts = ids.tobytes(), [0, *(ends * size).tolist()]
+        return [packed[x:y] for x, y in zip(cuts, cuts[1:])]
 
-    def _piece_count(self, word: str) -> int:
-        """Pieces the tokenizer splits a word into; beyond Latin letters it is asked itself."""
-        if self._latin(word):
-            return 1 if word.isalpha() else len(self._pieces(word))
-        return len(self.library.pre_tokenizer.pre_tokenize_str(word))
+    def _pieces_of(self, word: str) -> list[str]:
+        """What the tokenizer splits a word of Latin letters into."""
+        return [word] if word.isalpha() else self._split_latin(word)
 
     def _split(self, text: str) -> list[str]:
         if not unicodedata.is_normalized("NFC", text):
@@ -96,21 +110,19 @@ class WordEncoder:
         """The packed ids of every text."""
         words = [None if self._special.search(t) else self._split(t) for t in texts]
         fresh: dict[str, None] = {}
+        known, old = self.known, self.known.old
         for row in words:
             if row is not None:
-                fresh.update(dict.fromkeys(w for w in row if w not in self.known))
-        fresh = {w: None for w in fresh if w not in self.known.old}
-        batch = list(fresh)
-        local: dict[str, bytes] = {}
-        for k in range(0, len(batch), 2_000):
-            local |= self._learn(batch[k : k + 2_000])
-        for word, ids in local.items():
-            self.known.put(word, ids)
+                fresh.update(dict.fromkeys([w for w in row if w not in known and w not in old]))
+        # Other than Latin words go alone, so that they cannot unsettle the count of ends.
+        latin = [w for w in fresh if self._latin(w)]
+        for k in range(0, len(latin), 4_000):
+            self._learn(latin[k : k + 4_000])
         for text, row in zip(texts, words):
             if row is None:
                 yield self._alone(text)
             else:
-                yield b"".join([local.get(w) or self.known[w] for w in row])
+                yield b"".join(map(known.__getitem__, row))
 
 
 _WORKER: dict[bytes, WordEncoder] = {}

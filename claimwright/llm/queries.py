@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwright.llm import bpe_digests, id_files, quality, rules, token_groups, topk, toxicity
+from claimwright.llm import (
+    bpe_digests,
+    fuzzy_lines,
+    id_files,
+    mixing,
+    quality,
+    rules,
+    token_groups,
+    topk,
+    toxicity,
+)
 from claimwright.llm.bpe import Vocabulary
 from claimwright.llm.storage import prepare
 
@@ -33,6 +43,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_groups.similar_components(_table(spark, sf_dir, "documents"), 3, 90)
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.line_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
@@ -44,6 +58,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests.round_trips(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
+    return mixing.mixture(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), targets
+    )
+
+
 def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return id_files.id_files(_table(spark, sf_dir, "documents"), path, 2)
@@ -59,8 +80,10 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_rule_ledger": op2_rule_ledger,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_exact_topk": op5_exact_topk,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_mixing": op8_mixing,
     "op9_id_files": op9_id_files,
     "op10_quality": op10_quality,
 }

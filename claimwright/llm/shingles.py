@@ -40,6 +40,15 @@ def set_id(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def odd_sketch(tokens: np.ndarray) -> np.ndarray:
+    """256 bits: which of 256 classes of tokens hold an odd number of the set.
+
+    Two sketches differ in at most as many bits as the sets differ in tokens.
+    """
+    counts = np.bincount((mixed(tokens, 17) >> np.uint64(56)).astype(np.int64), minlength=256)
+    return np.packbits(counts & 1).view(np.int64)
+
+
 class Blocks:
     """Block keys for a similarity of ``percent``: shared tokens over all tokens, in percent.
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimwright.llm.components import connected_components, split_pairs, star_pairs
-from claimwright.llm.shingles import Blocks, overlaps, set_id, shingle_set
+from claimwright.llm.shingles import Blocks, odd_sketch, overlaps, set_id, shingle_set
 from claimwright.llm.storage import written
 from claimwright.operators.sizing import broadcast_if_small
 
@@ -30,26 +30,29 @@ MEMBERS = "array<struct<set_id:bigint,tokens:array<bigint>>>"
 
 
 def features(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, set_id, blocks``; the last two are null without words."""
+    """``doc_id, n_shingles, set_id, sketch, blocks``; the last three are null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(percent)
         for batch in batches:
             sets = [shingle_set(text, size) for text in batch.column(1).to_pylist()]
             keys = [blocks.keys(s).view(np.int64) if len(s) else None for s in sets]
+            sketches = [odd_sketch(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array(sketches, pa.list_(pa.int64())),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_id", "blocks"],
+                names=["doc_id", "n_shingles", "set_id", "sketch", "blocks"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, set_id long, blocks array<long>"
+        run,
+        f"doc_id {kind}, n_shingles long, set_id long, sketch array<long>, blocks array<long>",
     )
 
 
@@ -186,7 +189,7 @@ def similar_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """
     rows = written(features(docs, size, percent), "shingle-features")
     published = rows.where("set_id is not null").select(
-        "set_id", "n_shingles", F.explode("blocks").alias("block")
+        "set_id", "n_shingles", "sketch", F.explode("blocks").alias("block")
     )
     shared = written(
         published.groupBy("block")
@@ -231,7 +234,7 @@ def similar_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         ),
         "token-groups",
     )
-    matrix = buckets.select("block", "set_id").join(grouped, "set_id")
+    matrix = buckets.join(grouped, "set_id")
     first = written(
         _links_inside(groups, percent).union(
             _links_between(
@@ -243,12 +246,22 @@ def similar_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         "links",
     )
     found = connected_components(first).withColumnRenamed("node", "set_id")
-    known = (
-        matrix.join(found, "set_id", "left")
-        .withColumn("component", F.coalesce("component", "set_id"))
-        .select("block", "group", "component")
+    known = matrix.join(found, "set_id", "left").withColumn(
+        "component", F.coalesce("component", "set_id")
+    )
+    # Similar sets differ in so few tokens, and sketches in no more bits.
+    apart = split_pairs(
+        known,
+        "block",
+        "group",
+        ["n_shingles", "sketch"],
+        lambda x, y: (100 + percent)
+        * sum(
+            F.bit_count(x("sketch")[k].bitwiseXOR(y("sketch")[k])) for k in range(4)
+        )
+        <= (100 - percent) * (x("n_shingles") + y("n_shingles")),
     )
-    second = _links_between(split_pairs(known, "block", "group"), groups, percent)
+    second = _links_between(apart, groups, percent)
     components = connected_components(first.union(second)).withColumnRenamed("node", "set_id")
     placed = (
         rows.select("doc_id", "n_shingles", "set_id")
