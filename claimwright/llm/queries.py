@@ -13,6 +13,7 @@ from claimwright.llm import (
     fuzzy_lines,
     id_files,
     mixing,
+    pitman_yor,
     quality,
     rules,
     token_groups,
@@ -58,6 +59,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests.round_trips(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.language_scores(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2}
     return mixing.mixture(
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_exact_topk": op5_exact_topk,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_pitman_yor": op7_pitman_yor,
     "op8_mixing": op8_mixing,
     "op9_id_files": op9_id_files,
     "op10_quality": op10_quality,
