@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from claimwright.llm.storage import written
 
 SPACES = "[ \t\n\u000b\f\r]+"
+# No document is repeated more often, however rare its domain.
+MAX_RATE = 10.0
 # Words' worth of evidence that one text can give; more words sharpen it no further.
 EVIDENCE = 20.0
 
@@ -114,12 +116,12 @@ def posteriors(docs: DataFrame, model: DataFrame, domains: list[str]) -> DataFra
 
 
 def fit_rates(
-    members: DataFrame, targets: Mapping[str, float], *, tolerance: float = 1e-4, rounds: int = 40
+    members: DataFrame, targets: Mapping[str, float], *, tolerance: float = 1e-4, rounds: int = 25
 ) -> DataFrame:
     """``members`` with ``rate``: expected domain tokens come to ``targets`` of all tokens.
 
     Every round aggregates the domains' tokens under the present rates and moves all rates
-    against the gradient, not below zero. The rates follow from the residuals of the rounds
+    against the gradient, not below zero nor above ``MAX_RATE``. The rates follow from the residuals of the rounds
     alone, so a round stores nothing but one number a domain. Ends when all domains are
     within ``tolerance`` of their share, or after ``rounds``. A domain that no text belongs
     to is left out.
@@ -146,7 +148,7 @@ def fit_rates(
         if all(abs(r) <= tolerance * total for r in residual.values()):
             break
         slope = sum((a[k] * F.lit(residual[k] / scale[k] ** 2 / steep) for k in used), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - slope)
+        rate = F.least(F.lit(MAX_RATE), F.greatest(F.lit(0.0), rate - slope))
     return members.withColumn("rate", rate)
 
 
