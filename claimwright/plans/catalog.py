@@ -28,7 +28,10 @@ Dataset = Callable[[Run], DataFrame]
 
 
 def _client_user(run: Run) -> DataFrame:
-    return run.scope.users.where(F.col("username") == run.params.username)
+    users = run.scope.users
+    if run.params.username is None:
+        return users
+    return users.where(F.col("username") == run.params.username)
 
 
 def _nth(kind: str, n: int, in_period: bool, columns: tuple[str, ...] = ()) -> Dataset:
@@ -225,7 +228,7 @@ def _age_interval(run: Run) -> DataFrame:
 def _digits(run: Run) -> DataFrame:
     gap = F.col("gap_text")
     return run.tables["family_planning"].select(
-        "id", digits_number(gap).cast("bigint").alias("months"), digits_at_least(gap, 36).alias("spaced")
+        "id", digits_number(gap).try_cast("bigint").alias("months"), digits_at_least(gap, 36).alias("spaced")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimwright.functions.periods import day_text
 from claimwright.functions.texts import digits_at_least
-from claimwright.plans.run import Run, variants
+from claimwright.plans.run import Run, any_of, variants
 
 
 def _ongoing(run: Run, table: str) -> DataFrame:
@@ -92,7 +92,7 @@ def method_after_delivery(run: Run, rules: set[str]) -> DataFrame | None:
     if not choices:
         return None
     methods = (
-        run.narrow(run.tables["fp_followup"])
+        run.narrow(run.tables["fp_followup"].where(any_of(*choices)))
         .select("individual_id", variants(*choices).alias("m"))
         .select("individual_id", "m.rule", F.col("m.day").alias("completion"))
         .distinct()

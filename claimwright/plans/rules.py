@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from claimwright.functions.ages import full_years
 from claimwright.functions.periods import day_text
 from claimwright.plans import family, tuberculosis, vaccines, visits
-from claimwright.plans.run import Run, union_all, variants
+from claimwright.plans.run import Run, any_of, union_all, variants
 
 
 class Scope(Enum):
@@ -174,6 +174,7 @@ def _people_lines(run: Run, rules: set[str]) -> DataFrame:
     ]
     return (
         run.tables["individual"]
+        .where(any_of(*choices))
         .select(variants(*choices).alias("c"))
         .select(
             F.lit(None).cast("bigint").alias("worker_id"),

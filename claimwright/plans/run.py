@@ -81,6 +81,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, frames)
 
 
+def any_of(*choices: tuple[Column, Column]) -> Column:
+    """Whether some condition of the choices holds: a filter that reaches the scan."""
+    return reduce(Column.__or__, (test for test, _ in choices))
+
+
 def variants(*choices: tuple[Column, Column]) -> Column:
     """One row for every ``(condition, value)`` whose condition holds."""
     return F.explode(F.array_compact(F.array(*(F.when(test, value) for test, value in choices))))

@@ -45,13 +45,17 @@ def _encounters(run: Run, kind: str) -> DataFrame:
 
 
 def _in_valid_enrolments(run: Run, rows: DataFrame, kinds: list[str]) -> DataFrame:
-    """Rows whose enrolment exists and is not voided."""
+    """Rows whose enrolment exists and is not voided, with the enrolment's ``person_id``."""
     programs = sorted({PROGRAM[kind] for kind in kinds})
     enrolments = union_all(
         [
             run.tables[program]
             .where(live(F.col("is_voided")))
-            .select(F.lit(program).alias("program"), F.col("id").alias("enrolment_id"))
+            .select(
+                F.lit(program).alias("program"),
+                F.col("id").alias("enrolment_id"),
+                F.col("individual_id").alias("person_id"),
+            )
             for program in programs
         ]
     )
@@ -63,6 +67,8 @@ def _in_valid_enrolments(run: Run, rows: DataFrame, kinds: list[str]) -> DataFra
 def worker_visits(run: Run, kinds: list[str]) -> DataFrame:
     """Valid visits created and modified by the same worker.
 
+    ``person_id`` is the person of the enrolment, who is paid for and must not be voided;
+    ``visitor_id`` is the person of the encounter, by whom visits are numbered.
     ``note`` and ``mode`` hold the kind's own columns: tablets issued for antenatal
     visits, place and type of delivery for newborn visits.
     """
@@ -80,7 +86,7 @@ def worker_visits(run: Run, kinds: list[str]) -> DataFrame:
                 F.lit(PROGRAM[kind]).alias("program"),
                 F.col("program_enrolment_id").alias("enrolment_id"),
                 "worker_id",
-                F.col("individual_id").alias("person_id"),
+                F.col("individual_id").alias("visitor_id"),
                 F.col("id").alias("visit_id"),
                 F.col("encounter_date_time").alias("at"),
                 note.alias("note"),
@@ -88,7 +94,8 @@ def worker_visits(run: Run, kinds: list[str]) -> DataFrame:
             )
         )
     valid = _in_valid_enrolments(run, union_all(frames), kinds)
-    return valid.drop("program", "enrolment_id")
+    # Visits of a voided person do not count towards the numbers of others.
+    return valid.drop("program", "enrolment_id").join(run.live_people(), "person_id", "left_semi")
 
 
 def abortion_rows(run: Run) -> DataFrame:
@@ -121,8 +128,8 @@ def numbered_visits(run: Run, kind: str) -> DataFrame:
 
     An antenatal visit that meets several abortion rows has a range of numbers.
     """
-    visits = worker_visits(run, [kind]).join(run.live_people(), "person_id")
-    numbered = number_rows(visits, ["worker_id", "person_id"], visit_order(), "visit_number")
+    visits = worker_visits(run, [kind])
+    numbered = number_rows(visits, ["worker_id", "visitor_id"], visit_order(), "visit_number")
     if kind != "anc":
         return numbered
     last = F.col("visit_number") * F.col("copies")
@@ -137,7 +144,7 @@ def numbered_visits(run: Run, kind: str) -> DataFrame:
 def nth_visit(run: Run, kind: str, n: int, in_period: bool) -> DataFrame:
     """Each person's nth visit of a kind: person, day and the kind's own columns."""
     visits = first_k(
-        worker_visits(run, [kind]), ["worker_id", "person_id"], visit_order(), n
+        worker_visits(run, [kind]), ["worker_id", "visitor_id"], visit_order(), n
     )
     if kind == "anc":
         visits = _with_copies(run, visits).where(F.col("nth") == F.expr(_encounter_of(n)))
@@ -146,9 +153,7 @@ def nth_visit(run: Run, kind: str, n: int, in_period: bool) -> DataFrame:
     visits = visits.withColumn("day", F.to_date("at"))
     if in_period:
         visits = visits.where(run.on_days("day"))
-    return visits.join(run.live_people(), "person_id").select(
-        "worker_id", "person_id", "day", "note", "mode"
-    )
+    return visits.select("worker_id", "person_id", "day", "note", "mode")
 
 
 def _pivoted(run: Run, kinds: list[str]) -> DataFrame:
@@ -159,7 +164,7 @@ def _pivoted(run: Run, kinds: list[str]) -> DataFrame:
     visits = worker_visits(run, kinds)
     numbered = first_k(
         visits,
-        ["worker_id", "person_id", "kind"],
+        ["worker_id", "visitor_id", "kind"],
         visit_order(),
         max(LAST_VISIT[kind] for kind in kinds),
     )
@@ -183,11 +188,7 @@ def _pivoted(run: Run, kinds: list[str]) -> DataFrame:
 
 
 def nth_visit_claims(run: Run, rules: set[str]) -> DataFrame | None:
-    """Claim tuples of the rules that pair one visit with an earlier one.
-
-    That the person is live is left to the join with the people: a voided person has no
-    visit that would change another person's numbers.
-    """
+    """Claim tuples of the rules that pair one visit with an earlier one."""
     kinds_of = {
         "r01": {"anc"},
         "r02": {"anc"},
@@ -252,7 +253,6 @@ def _doses(run: Run, rows: DataFrame, *choices: tuple[str, Column]) -> DataFrame
     rows = run.scope.created_and_modified(rows).select(
         F.col("program_enrolment_id").alias("enrolment_id"),
         "worker_id",
-        F.col("individual_id").alias("person_id"),
         doses.alias("d"),
     )
     return (
@@ -318,7 +318,6 @@ def pmsma_visits(run: Run) -> DataFrame:
     ).select(
         F.col("program_enrolment_id").alias("enrolment_id"),
         "worker_id",
-        F.col("individual_id").alias("person_id"),
         F.to_date("encounter_date_time").alias("day"),
     )
     return (

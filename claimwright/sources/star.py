@@ -183,19 +183,19 @@ from orders
     "fx_checklist_item": """
 select l_orderkey * 10 + l_linenumber as id,
        l_orderkey as checklist_id,
-       l_partkey % 40 as checklist_item_detail_id,
+       l_partkey as checklist_item_detail_id,
        case when l_returnflag <> 'R' then l_shipdate + interval '1' second * cast(l_partkey * 7 % 86400 as int) end as completion_date
 from lineitem
 """,
     "fx_checklist_item_detail": """
 select p_partkey as id,
        p_partkey as concept_id
-from part where p_partkey < 40
+from part
 """,
     "fx_concept": """
 select p_partkey as id,
-       case p_partkey when 0 then 'BCG' when 1 then 'Pentavalent 3' when 2 then 'OPV 3' when 3 then 'Measles 1' when 4 then 'JE 1' when 5 then 'DPT Booster 1' when 6 then 'DPT Booster 2' when 7 then 'OPV Booster' when 8 then 'Measles 2' when 9 then 'JE 2' else p_name end as name
-from part where p_partkey < 40
+       case p_partkey % 40 when 0 then 'BCG' when 1 then 'Pentavalent 3' when 2 then 'OPV 3' when 3 then 'Measles 1' when 4 then 'JE 1' when 5 then 'DPT Booster 1' when 6 then 'DPT Booster 2' when 7 then 'OPV Booster' when 8 then 'Measles 2' when 9 then 'JE 2' else p_name end as name
+from part
 """,
     "fx_relationship": """
 select c_custkey as id,

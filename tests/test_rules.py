@@ -38,6 +38,16 @@ def test_fourth_visit_without_abortion(spark):
     assert lines(run, "r01") == [(1, "2024-01-04", "2024-01-01")]
 
 
+def test_a_visit_pays_for_the_person_of_its_enrolment(spark):
+    anc = [visit(n, 200, jan(n)) for n in (1, 2, 3, 4)]
+    people = [person(100), person(200, is_voided=True)]
+    run = run_of(spark, individual=people, pregnancy=[PREGNANCY], anc=anc)
+    assert lines(run, "r01") == [(1, "2024-01-04", "2024-01-01")]
+    voided = [person(100, is_voided=True), person(200)]
+    run = run_of(spark, individual=voided, pregnancy=[PREGNANCY], anc=anc)
+    assert lines(run, "r01") == []
+
+
 def test_two_abortions_number_each_visit_twice(spark):
     anc = [visit(n, 100, jan(n)) for n in (1, 2, 3, 4, 5)]
     run = run_of(
