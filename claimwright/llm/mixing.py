@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from claimwright.llm.storage import written
 
 SPACES = "[ \t\n\u000b\f\r]+"
+# Labelled documents that the classifier is fitted to.
+MAX_LABELLED = 8_000
 # No document is repeated more often, however rare its domain.
 MAX_RATE = 10.0
 # Words' worth of evidence that one text can give; more words sharpen it no further.
@@ -32,7 +34,7 @@ def word_model(
     domain: str,
     domains: list[str],
     *,
-    max_rows: int = 8_000,
+    max_rows: int = MAX_LABELLED,
     max_words: int = 2_048,
 ) -> DataFrame:
     """``word, logs``: log-likelihoods of a word in every domain, from a bounded sample.
@@ -163,7 +165,9 @@ def mixing_rates(
     """
     domains = list(targets)
     listed = labels.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    labelled = docs.select("doc_id", "text", domain).join(listed, "doc_id", "left_semi")
+    # At most MAX_LABELLED ids, drawn before any text is read.
+    drawn = listed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+    labelled = docs.select("doc_id", "text", domain).join(F.broadcast(drawn), "doc_id", "left_semi")
     model = word_model(labelled, domain, domains)
     members = written(posteriors(docs, model, domains), "memberships")
     return fit_rates(members, targets)
