@@ -205,6 +205,18 @@ def test_repeated_and_similar_lines_go_once(spark):
     assert rows[3].text is None and rows[4].text == ""
 
 
+def test_simhash_equals_its_definition():
+    rng = random.Random(10)
+    words = [bytes(rng.choices(b"abcdefgh", k=rng.randint(1, 9))) for _ in range(3_000)]
+    lengths = [1, 5, 63, 64, 200, 700, 20_000, 2, *(rng.randint(1, 90) for _ in range(50))]
+    lines = [rng.choices(words, k=n) for n in lengths]
+    for line, found in zip(lines, fuzzy_lines.SimHasher().hashes(lines)):
+        signs = fuzzy_lines.word_bits(line).astype(int) * 2 - 1
+        weights = np.array([1 if len(w) <= 3 else 4 for w in line])
+        assert np.array_equal(np.packbits(weights @ signs > 0).view(np.int64), found)
+    assert fuzzy_lines.SimHasher().hashes([]).shape == (0, fuzzy_lines.NUMBERS)
+
+
 def test_line_dedup_of_odd_rows(spark):
     rows = fuzzy_lines.line_dedup(documents(spark, ODD)).collect()
     assert len(rows) == len(ODD)
