@@ -214,6 +214,9 @@ def test_simhash_equals_its_definition():
         signs = fuzzy_lines.word_bits(line).astype(int) * 2 - 1
         weights = np.array([1 if len(w) <= 3 else 4 for w in line])
         assert np.array_equal(np.packbits(weights @ signs > 0).view(np.int64), found)
+    hasher = fuzzy_lines.SimHasher()
+    one, other = hasher.hashes([[b"x" * 10**6, b"word"], [b"x" * 10**6 + b"y", b"word"]])
+    assert max(map(len, hasher.rows)) <= 64 and not np.array_equal(one, other)
     assert fuzzy_lines.SimHasher().hashes([]).shape == (0, fuzzy_lines.NUMBERS)
 
 
