@@ -8,8 +8,10 @@ closest to 1 under which the expected tokens of the domains have the wanted shar
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,12 @@ from claimwright.llm.storage import written
 SPACES = "[ \t\n\u000b\f\r]+"
 # Labelled documents that the classifier is fitted to.
 MAX_LABELLED = 8_000
-# No document is repeated more often, however rare its domain.
-MAX_RATE = 10.0
+# Keeps steps finite where no rates reach the targets; far below the tolerance elsewhere.
+SLACK = 1e-12
 # Words' worth of evidence that one text can give; more words sharpen it no further.
 EVIDENCE = 20.0
+# Repeats of a row made at once.
+RUN = 10_000
 
 
 def _words(text: str) -> Column:
@@ -118,46 +122,87 @@ def posteriors(docs: DataFrame, model: DataFrame, domains: list[str]) -> DataFra
 
 
 def fit_rates(
-    members: DataFrame, targets: Mapping[str, float], *, tolerance: float = 1e-4, rounds: int = 25
+    members: DataFrame, targets: Mapping[str, float], *, tolerance: float = 1e-4, rounds: int = 100
 ) -> DataFrame:
     """``members`` with ``rate``: expected domain tokens come to ``targets`` of all tokens.
 
-    Every round aggregates the domains' tokens under the present rates and moves all rates
-    against the gradient, not below zero nor above ``MAX_RATE``. The rates follow from the residuals of the rounds
-    alone, so a round stores nothing but one number a domain. Ends when all domains are
-    within ``tolerance`` of their share, or after ``rounds``. A domain that no text belongs
-    to is left out.
+    The rates are the non-negative ones closest to 1, with no upper bound: 1 and a multiple of
+    the tokens in each domain, projected on zero and above. Every round aggregates the domains'
+    tokens and their products over the rates above zero, and moves the multipliers against the
+    gradient, scaled by these products; a step that overshoots is halved. A round stores
+    nothing but one number a domain. Ends when all domains are within ``tolerance`` of their
+    share, or no step leads nearer, or after ``rounds``.
+
+    ``residuals`` has for each domain the reached share less the wanted one. Targets that no
+    rates reach, as of a domain that no text belongs to, show there, and a warning names them.
     """
     n = len(targets)
     a = [F.col("n_tokens") * F.col("shares")[k] for k in range(n)]
     copies = F.col("copies").cast("double")
-    products = [F.sum(copies * a[j] * a[k]) for j in range(n) for k in range(n)]
-    first = members.agg(F.sum(copies * F.col("n_tokens")), *products).first()
+    squares = [F.sum(copies * a[k] * a[k]) for k in range(n)]
+    first = members.agg(F.sum(copies * F.col("n_tokens")), *squares).first()
     total = float(first[0] or 0)
-    gram = [[float(first[1 + j * n + k] or 0) for k in range(n)] for j in range(n)]
-    used = [k for k in range(n) if gram[k][k] > 0]
+    used = [k for k in range(n) if float(first[1 + k] or 0) > 0]
     if not used:
-        return members.withColumn("rate", F.lit(1.0))
-    weights = list(targets.values())
-    whole = sum(weights[k] for k in used) or 1.0
-    wanted = {k: weights[k] / whole * total for k in used}
-    scale = {k: math.sqrt(gram[k][k]) for k in used}
-    steep = max(sum(abs(gram[j][k]) / scale[j] / scale[k] for k in used) for j in used)
-    rate: Column = F.lit(1.0)
+        nothing = F.array(*(F.lit(0.0) for _ in targets))
+        return members.withColumn("rate", F.lit(1.0)).withColumn("residuals", nothing)
+    whole = sum(targets.values()) or 1.0
+    weights = [weight / whole for weight in targets.values()]
+    left = sum(weights[k] for k in used) or 1.0
+    scale = np.sqrt([float(first[1 + k]) for k in used])
+    wanted = np.array([weights[k] / left * total for k in used]) / scale
+    near = [a[k] / F.lit(float(scale[i])) for i, k in enumerate(used)]
+    # One weight a token missed, whatever the domain.
+    slack = SLACK * (scale.max() / scale) ** 2
+    m = len(used)
+
+    def rates(at: np.ndarray) -> Column:
+        moved = sum((near[i] * F.lit(float(at[i])) for i in range(m)), F.lit(1.0))
+        return F.greatest(F.lit(0.0), moved)
+
+    def aggregated(at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Half the squared rates less their due, the residuals, and the products."""
+        rate = rates(at)
+        above = copies * (rate > 0).cast("double")
+        row = members.agg(
+            F.sum(copies * rate * rate),
+            *(F.sum(copies * near[i] * rate) for i in range(m)),
+            *(F.sum(above * near[i] * near[j]) for i in range(m) for j in range(m)),
+        ).first()
+        values = np.array([float(value) for value in row])
+        cost = values[0] / 2 - at @ wanted + (slack * at) @ at / 2
+        return cost, values[1 : 1 + m] - wanted, values[1 + m :].reshape(m, m)
+
+    at = np.zeros(m)
+    cost, residual, products = aggregated(at)
     for _ in range(rounds):
-        row = members.agg(*(F.sum(copies * a[k] * rate) for k in used)).first()
-        residual = {k: float(row[i] or 0) - wanted[k] for i, k in enumerate(used)}
-        if all(abs(r) <= tolerance * total for r in residual.values()):
+        if (np.abs(residual * scale) <= tolerance * total).all():
+            break
+        slope = residual + slack * at
+        step = -np.linalg.solve(products + np.diag(slack), slope)
+        part, found = 1.0, aggregated(at + step)
+        while found[0] > cost + 1e-4 * part * (slope @ step) and part > 1e-6:
+            part /= 2
+            found = aggregated(at + part * step)
+        if found[0] >= cost:
             break
-        slope = sum((a[k] * F.lit(residual[k] / scale[k] ** 2 / steep) for k in used), F.lit(0.0))
-        rate = F.least(F.lit(MAX_RATE), F.greatest(F.lit(0.0), rate - slope))
-    return members.withColumn("rate", rate)
+        at = at + part * step
+        cost, residual, products = found
+    reached = np.zeros(n)
+    reached[used] = (residual + wanted) * scale / total
+    missed = reached - np.array(weights)
+    if (np.abs(missed) > tolerance).any():
+        shares = ", ".join(f"{d} by {x:+.4f}" for d, x in zip(targets, missed))
+        warnings.warn(f"mixing rates miss the target shares: {shares}", stacklevel=2)
+    return members.withColumn("rate", rates(at)).withColumn(
+        "residuals", F.array(*(F.lit(float(x)) for x in missed))
+    )
 
 
 def mixing_rates(
     docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], domain: str = "lang"
 ) -> DataFrame:
-    """``doc_id, text_id, copies, n_tokens, shares, rate`` of every distinct id and text.
+    """``doc_id, text_id, copies, n_tokens, shares, rate, residuals`` of every distinct id and text.
 
     The classifier learns ``domain`` from the documents listed in ``labels``, by their words
     alone. Without any, every text has the same posterior. Null and empty texts have the
@@ -174,8 +219,10 @@ def mixing_rates(
 
 
 def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]) -> DataFrame:
-    """``doc_id, n_tokens, domain, shares, rate`` of every row; the likeliest domain is named.
+    """``doc_id, n_tokens, domain, shares, rate, residuals`` of every row.
 
+    The likeliest domain is named. ``residuals``, the same in every row, has for each domain
+    the reached share of tokens less the wanted one, zero within the tolerance of the fit.
     Repeated rows have the same rate; a null id is kept; no rows give no rows.
     """
     domains = list(targets)
@@ -188,6 +235,7 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]) ->
         F.element_at(names, best.cast("int")).alias("domain"),
         "shares",
         "rate",
+        "residuals",
         F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"),
     ).drop("copy")
 
@@ -209,8 +257,11 @@ def resampled(docs: DataFrame, rates: DataFrame) -> DataFrame:
             by_row,
             F.col("doc_id").eqNullSafe(F.col("cw_doc")) & (text_id == F.col("cw_text")),
         )
-        .withColumn("cw_rows", F.floor(F.col("cw_rate") + chance).cast("int"))
+        .withColumn("cw_rows", F.floor(F.col("cw_rate") + chance))
         .where("cw_rows > 0")
-        .withColumn("cw_row", F.explode(F.sequence(F.lit(1), "cw_rows")))
+        # In runs, so that no array grows with the rate.
+        .withColumn("cw_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(cw_rows - 1) div {RUN}"))))
+        .withColumn("cw_left", F.least(F.lit(RUN).cast("long"), F.col("cw_rows") - F.col("cw_run") * RUN))
+        .withColumn("cw_row", F.explode(F.sequence(F.lit(1).cast("long"), "cw_left")))
         .select(*(F.col(f"`{name}`") for name in names))
     )

@@ -357,6 +357,31 @@ def test_rates_meet_the_targets(spark):
     assert mixing.mixture(docs.limit(0), labels, {"en": 0.5, "fr": 0.5}).count() == 0
 
 
+def test_rates_of_rare_domains_and_of_targets_out_of_reach(spark):
+    rng = random.Random(12)
+    own = {d: [f"{d}{k}" for k in range(40)] for d in ("en", "fr", "de")}
+    lang = ["fr" if k % 100 == 0 else "de" if k % 50 == 1 else "en" for k in range(600)]
+    rows = [(k, prose(rng, own[d], rng.randint(5, 60)), d) for k, d in enumerate(lang)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k,) for k in range(300)], "doc_id long")
+    targets = {"en": 0.3, "fr": 0.5, "de": 0.2}
+    found = mixing.mixture(docs, labels, targets).collect()
+    tokens = sum(r.n_tokens for r in found)
+    for k, share in enumerate(targets.values()):
+        reached = sum(r.n_tokens * r.shares[k] * r.rate for r in found) / tokens
+        assert reached == pytest.approx(share, abs=2e-4)
+    assert all(r.rate >= 0 and max(map(abs, r.residuals)) < 2e-4 for r in found)
+    assert max(r.rate for r in found) > 10
+    # Texts of one language cannot come to half of another.
+    with pytest.warns(UserWarning, match="miss the target shares"):
+        alone = mixing.mixture(docs.where("lang = 'en'"), labels, {"en": 0.5, "fr": 0.5}).collect()
+    reached = sum(r.n_tokens * r.shares[1] * r.rate for r in alone) / sum(r.n_tokens for r in alone)
+    assert alone[0].residuals[1] == pytest.approx(reached - 0.5, abs=1e-6) and reached < 0.4
+    rates = spark.createDataFrame([(1, 25_000.0)], "doc_id long, rate double")
+    rates = docs.join(rates, "doc_id").select("doc_id", F.xxhash64("text").alias("text_id"), "rate")
+    assert mixing.resampled(docs, rates).count() == 25_000
+
+
 # id files
 
 
