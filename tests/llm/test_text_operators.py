@@ -340,6 +340,18 @@ def test_predictive_probabilities_sum_to_one(spark):
     assert pitman_yor.language_scores(documents(spark, [])).count() == 0
 
 
+def test_rare_words_are_contexts(spark):
+    rng = random.Random(13)
+    # Each of 3,000 words is rare, and always before the same other one.
+    pairs = [f"x{k} y{k}" for k in range(3_000)]
+    rows = spark.createDataFrame(
+        [(k, prose(rng, pairs, 300)) for k in range(100)], "doc_id long, text string"
+    )
+    found = [r for r in pitman_yor.language_scores(rows).collect() if r.held_out]
+    # Half of the words follow surely from the one before.
+    assert found and sum(r.score for r in found) > 0.7 * sum(r.base_score for r in found)
+
+
 # mixing
 
 
