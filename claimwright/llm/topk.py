@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 # Rows of one cell of the grid of candidate chunks and query blocks.
 CHUNK_ROWS = 16_384
 BLOCK_ROWS = 4_096
-# Weights beyond this, from components past 65,536, are set to it: products then fit 64 bits.
-LIMIT = 1 << 24
+# Weights from here on do not fit 64 bits and are an error.
+WIDEST = float(1 << 63)
 
 
 def integer_weights(vector: str) -> Column:
-    """floor(256 * x) of every component; null for a vector that takes no part."""
+    """floor(256 * x) of every component; null for a vector that takes no part.
+
+    Fails for a component whose weight does not fit 64 bits.
+    """
     value = F.col(vector)
     usable = value.isNotNull() & F.forall(
         value,
@@ -23,16 +26,11 @@ def integer_weights(vector: str) -> Column:
             ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))), F.lit(False)
         ),
     )
-    scaled = F.transform(
-        value,
-        lambda x: F.floor(
-            F.greatest(
-                F.lit(-float(LIMIT)),
-                F.least(F.lit(float(LIMIT)), x.cast("double") * F.lit(256.0)),
-            )
-        ).cast("int"),
-    )
-    return F.when(usable, scaled)
+    product = lambda x: x.cast("double") * F.lit(256.0)
+    wide = F.exists(value, lambda x: F.abs(product(x)) >= F.lit(WIDEST))
+    scaled = F.transform(value, lambda x: F.floor(product(x)))
+    failed = F.raise_error(F.lit("a vector component is beyond 2^63 / 256")).cast("array<bigint>")
+    return F.when(usable, F.when(wide, failed).otherwise(scaled))
 
 
 def _postings(ids: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> list[tuple]:
@@ -65,21 +63,29 @@ def best_in_cell(candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
         ids, offsets, values = _rows(candidates)
         postings = _postings(ids, offsets, values)
         query_ids, starts, terms = _rows(queries)
+        most = max((abs(int(x)) for x in (values.min(initial=0), values.max(initial=0))), default=0)
         for q, query in enumerate(query_ids):
             weights = terms[starts[q] : starts[q + 1]]
-            scores = np.zeros(len(ids), dtype=np.int64)
+            # Python's integers where a sum might not fit 64 bits.
+            fits = most * sum(abs(int(w)) for w in weights) < 1 << 63
+            scores = np.zeros(len(ids), dtype=np.int64 if fits else object)
             for term in np.flatnonzero(weights[: len(postings)]):
                 rows, of_rows = postings[term]
-                scores[rows] += weights[term] * of_rows
+                if not fits:
+                    of_rows = of_rows.astype(object)
+                scores[rows] += (weights[term] if fits else int(weights[term])) * of_rows
             allowed = np.flatnonzero(ids != query)
             own = scores[allowed]
             if len(own) > k:
-                least = np.partition(own, len(own) - k)[len(own) - k]
+                ordered = np.partition(own, len(own) - k) if fits else np.sort(own)
+                least = ordered[len(own) - k]
                 above = np.flatnonzero(own > least)
                 ties = np.flatnonzero(own == least)[: k - len(above)]
                 picked = np.r_[above, ties]
             else:
                 picked = np.arange(len(own))
+            if not fits and any(abs(own[p]) >= 1 << 63 for p in picked):
+                raise OverflowError(f"a score of query {query} does not fit 64 bits")
             found += [(query, ids[allowed[p]], own[p]) for p in picked]
     columns = list(zip(*found)) or [[], [], []]
     return pa.table(
@@ -106,8 +112,8 @@ def top_k(
     rows under one query id the smallest vector asks; as candidates all rows count, so an
     id may be listed once for each of its rows. No queries or candidates give no rows.
 
-    Candidates are dealt into chunks and queries into blocks by a hash of the id. Each cell
-    of that grid is scored on its own: the query's terms add weighted postings into one
+    Candidates are dealt into chunks and queries into blocks by a hash of the id. Scores that
+    do not fit 64 bits among the best fail. Each cell of that grid is scored on its own: the query's terms add weighted postings into one
     array of scores, from which the best are selected. The cells' bests are then merged.
     """
     rows = vectors.where(F.col("vec_id").isNotNull())

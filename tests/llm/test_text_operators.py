@@ -246,6 +246,21 @@ def test_top_k_equals_brute_force_over_several_cells(spark):
     assert top_k(df.limit(0), F.col("vec_id") % 10 == 0, 5).count() == 0
 
 
+def test_top_k_of_wide_components(spark):
+    rows = [(0, [1.0, 0.0]), (1, [100_000.0, 0.0]), (2, [200_000.0, 0.0]), (3, [-300_000.0, 2.0**30])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = top_k(df, F.col("vec_id") == 0, 2).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(2, 65_536 * 200_000), (1, 65_536 * 100_000)]
+    # The terms go beyond 64 bits, the sums do not.
+    rows = [(0, [2.0**30, 2.0**30]), (1, [2.0**30, -(2.0**30)]), (2, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = top_k(df, F.col("vec_id") == 0, 1).collect()
+    assert [(r.vec_id, r.score) for r in found] == [(1, 0)]
+    beyond = spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond"):
+        top_k(beyond, F.col("vec_id") == 0, 1).collect()
+
+
 # byte-level BPE
 
 
