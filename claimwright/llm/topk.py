@@ -96,6 +96,12 @@ def best_in_cell(candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     )
 
 
+def dealt_rows(rows: DataFrame, chunks: int) -> DataFrame:
+    """``rows`` with ``chunk``, by a hash of id and place: copies of one id are spread as well."""
+    salted = F.xxhash64("vec_id", F.monotonically_increasing_id())
+    return rows.withColumn("chunk", F.pmod(salted, F.lit(chunks)).cast("int"))
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -112,8 +118,8 @@ def top_k(
     rows under one query id the smallest vector asks; as candidates all rows count, so an
     id may be listed once for each of its rows. No queries or candidates give no rows.
 
-    Candidates are dealt into chunks and queries into blocks by a hash of the id. Scores that
-    do not fit 64 bits among the best fail. Each cell of that grid is scored on its own: the query's terms add weighted postings into one
+    Candidates are dealt into chunks by a hash of id and row, and queries into blocks by a
+    hash of the id. Scores that do not fit 64 bits among the best fail. Each cell of that grid is scored on its own: the query's terms add weighted postings into one
     array of scores, from which the best are selected. The cells' bests are then merged.
     """
     rows = vectors.where(F.col("vec_id").isNotNull())
@@ -128,8 +134,8 @@ def top_k(
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    candidates = usable.select(
-        "vec_id", "weights", F.pmod(dealt, F.lit(chunks)).cast("int").alias("chunk"), every(blocks).alias("block")
+    candidates = dealt_rows(usable, chunks).select(
+        "vec_id", "weights", "chunk", every(blocks).alias("block")
     )
     queries = (
         usable.where("asks")

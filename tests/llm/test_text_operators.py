@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from claimwright.llm import bpe, fuzzy_lines, id_files, mixing, pitman_yor, pu, quality, queries
-from claimwright.llm import rules, toxicity
+from claimwright.llm import rules, topk, toxicity
 from claimwright.llm.components import connected_components
 from claimwright.llm.perfect_hash import PerfectHash
 from claimwright.llm.shingles import Blocks, odd_sketch, overlaps
@@ -246,7 +246,7 @@ def test_top_k_equals_brute_force_over_several_cells(spark):
     assert top_k(df.limit(0), F.col("vec_id") % 10 == 0, 5).count() == 0
 
 
-def test_top_k_of_wide_components(spark):
+def test_top_k_of_wide_components_and_of_one_hot_id(spark):
     rows = [(0, [1.0, 0.0]), (1, [100_000.0, 0.0]), (2, [200_000.0, 0.0]), (3, [-300_000.0, 2.0**30])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = top_k(df, F.col("vec_id") == 0, 2).orderBy("rank").collect()
@@ -259,6 +259,9 @@ def test_top_k_of_wide_components(spark):
     beyond = spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="beyond"):
         top_k(beyond, F.col("vec_id") == 0, 1).collect()
+    hot = spark.range(4_000).select(F.lit(7).cast("long").alias("vec_id"))
+    sizes = [r["count"] for r in topk.dealt_rows(hot, 8).groupBy("chunk").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 700
 
 
 # byte-level BPE
