@@ -44,6 +44,14 @@ def positive_unlabelled_sample(
     return sample, min(max(prior or 0.0, 0.01), 0.99)
 
 
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """``doc_id, positive, text`` of the sample: one text an id, the smallest of its rows."""
+    ids = F.broadcast(sample.select("doc_id").distinct())
+    single = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    single = single.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return single.join(F.broadcast(sample), "doc_id").select("doc_id", "positive", "text")
+
+
 def with_computed(
     docs: DataFrame,
     keep: Sequence[str],

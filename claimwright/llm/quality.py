@@ -12,7 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimwright.llm.labelled import fold, positive_unlabelled_sample, with_computed
+from claimwright.llm.labelled import (
+    fold,
+    positive_unlabelled_sample,
+    sampled_texts,
+    with_computed,
+)
 from claimwright.llm.pu import Network, fit
 
 HIDDEN = 16
@@ -101,7 +106,7 @@ def fit_quality(
         max_unlabelled,
     )
     # At most max_positive + max_unlabelled rows of an id and a flag.
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = sampled_texts(docs, sample)
     field = T.StructField("x", T.ArrayType(T.DoubleType()))
     rows = with_computed(
         texts, ["doc_id", "positive"], "text", [field], lambda t: [pa.array(list(measured(t)))]

@@ -10,7 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimwright.llm.labelled import fold, positive_unlabelled_sample, with_computed
+from claimwright.llm.labelled import (
+    fold,
+    positive_unlabelled_sample,
+    sampled_texts,
+    with_computed,
+)
 from claimwright.llm.pu import Network, fit
 from claimwright.llm.storage import written
 
@@ -109,7 +114,7 @@ def fit_toxicity(
         max_unlabelled,
     )
     # At most max_positive + max_unlabelled rows of an id and a flag.
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = sampled_texts(docs, sample)
     field = T.StructField("words", T.ArrayType(T.BinaryType()))
 
     def split(batch: list) -> list[pa.Array]:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from claimwright.llm import bpe, fuzzy_lines, id_files, mixing, pitman_yor, pu, quality, queries
+from claimwright.llm import bpe, fuzzy_lines, id_files, labelled, mixing, pitman_yor, pu, quality, queries
 from claimwright.llm import rules, topk, toxicity
 from claimwright.llm.components import connected_components
 from claimwright.llm.perfect_hash import PerfectHash
@@ -98,6 +98,13 @@ def test_classifiers_on_odd_rows(spark, score):
 # rule ledger
 
 
+def test_a_sampled_id_of_many_rows_is_one_text(spark):
+    docs = documents(spark, [(1, f"text {k}") for k in range(500)] + [(2, "b"), (3, None), (4, "no")])
+    sample = spark.createDataFrame([(1, True), (1, False), (2, False), (3, False)], "doc_id long, positive boolean")
+    rows = sorted((r.doc_id, r.positive, r.text) for r in labelled.sampled_texts(docs, sample).collect())
+    assert rows == [(1, False, "text 0"), (1, True, "text 0"), (2, False, "b"), (3, False, None)]
+
+
 def test_ledger_counts_and_ablations(spark):
     eight = "a b c d e f g h"
     texts = [*ODD, f"{eight} x {eight}", "same line\nsame line\nother", "A" * 40 + " B" * 30]
