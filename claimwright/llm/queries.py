@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from claimwright.llm import (
     bpe_digests,
+    filter_audit,
     fuzzy_lines,
     id_files,
     mixing,
+    page_text,
     pitman_yor,
     quality,
     rules,
     token_groups,
     topk,
     toxicity,
+    vector_codes,
 )
 from claimwright.llm.bpe import Vocabulary
 from claimwright.llm.storage import prepare
@@ -81,6 +84,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.page_texts(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_rule_ledger": op2_rule_ledger,
@@ -92,6 +109,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_id_files": op9_id_files,
     "op10_quality": op10_quality,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_page_text": op13_page_text,
 }
 
 RULE_LEDGER_SQL = r"""
@@ -166,7 +186,124 @@ from (
 where rank <= 5
 """
 
+FILTER_AUDIT_SQL = r"""
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+  from documents
+),
+originals as (select t, min(doc_id) as original from d group by t),
+marks as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic
+  from labels where doc_id is not null group by doc_id
+),
+f as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+    [len(ws) < 200,
+     100 * len(list_distinct(ws)) < 50 * len(ws),
+     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+     regexp_matches(t, '[#$%&*|]'),
+     coalesce(doc_id > original, false)] as fails
+  from d join originals using (t) left join marks using (doc_id)
+),
+cells as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+met as (
+  select part, filter_order, step, n, good, toxic, filter_order[step] as letter,
+    fails[ord(filter_order[step]) - 64] as own,
+    len(list_filter(range(1, step), lambda s: fails[ord(filter_order[s]) - 64])) > 0 as earlier,
+    len(list_filter(fails, lambda x: x)) as failed
+  from cells, orders, (select unnest([1, 2, 3, 4, 5]) as step) steps
+),
+counted as (
+  select part, filter_order, step, letter,
+    sum(case when not own and not earlier then n else 0 end)::bigint as kept,
+    sum(case when own and not earlier then n else 0 end)::bigint as removed,
+    sum(case when own and earlier then n else 0 end)::bigint as redundant,
+    sum(case when own and failed = 1 then n else 0 end)::bigint as unique_fails,
+    sum(case when own and not earlier then good else 0 end)::bigint as good_lost,
+    sum(case when own and not earlier then toxic else 0 end)::bigint as toxic_lost
+  from met group by all
+)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost,
+  toxic_lost, sum(removed) over (partition by part, letter)::bigint as shapley
+from counted
+"""
+
+
+def _vector_codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """The codebooks' rounds written out one after the other."""
+    steps = [
+        """v as materialized (
+  select row_number() over (order by vec_id, embedding) - 1 as rid, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as e
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+)""",
+        """parts as materialized (
+  select rid, p, e[p * (len(e) // 4) + 1:(p + 1) * (len(e) // 4)] as x
+  from v, (select unnest([0, 1, 2, 3]) as p) positions
+)""",
+        "book0 as materialized (select p, rid as entry, x as c from parts where rid < 256)",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""near{i} as materialized (
+  select rid, p, min(struct_pack(d := gap, entry := entry)) as best
+  from (
+    select rid, parts.p, entry,
+      list_sum(list_transform(range(1, len(x) + 1), lambda k: (x[k] - c[k]) * (x[k] - c[k])))::bigint as gap
+    from parts join book{i} on parts.p = book{i}.p
+  )
+  group by rid, p
+)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""book{i + 1} as materialized (
+  select b.p, b.entry, coalesce(m.c, b.c) as c
+  from book{i} b left join (
+    select p, entry, list((total - ((total % points) + points) % points) // points order by k) as c
+    from (
+      select p, entry, k, sum(x)::bigint as total, count(*) as points
+      from (
+        select p, best.entry as entry, unnest(range(1, len(x) + 1)) as k, unnest(x) as x
+        from near{i} join parts using (rid, p)
+      )
+      group by all
+    )
+    group by p, entry
+  ) m on m.p = b.p and m.entry = b.entry
+)"""
+            )
+    return (
+        "with "
+        + ",\n".join(steps)
+        + f""",
+coded as (
+  select rid, string_agg(printf('%02x', best.entry), '' order by p) as code,
+    sum(best.d)::bigint as error
+  from near{rounds} group by rid
+),
+digest as (
+  select sha256(string_agg(array_to_string(c, ','), ',' order by p, entry)) as codebooks_sha256
+  from book{rounds}
+)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from coded join v using (rid), digest
+"""
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_rule_ledger": RULE_LEDGER_SQL,
     "op5_exact_topk": TOP_K_SQL,
+    "op11_vector_codes": _vector_codes_sql(),
+    "op12_filter_audit": FILTER_AUDIT_SQL,
 }
