@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from claimwright.session import ensure_checkpoint_dir
-
 
 def first_k(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, into: str = "nth"
@@ -22,49 +21,81 @@ def first_k(
     return numbered.where(F.col(into) <= k)
 
 
+def running_copies(keys: Sequence[str], order: Sequence[Column], copies: str) -> Column:
+    """The last number of a row whose group repeats each row ``copies`` times.
+
+    For groups that are bounded already, such as those of ``first_k``.
+    """
+    return F.sum(copies).over(_up_to(Window.partitionBy(*keys).orderBy(*order), 0))
+
+
+@dataclass(frozen=True)
+class ByTime:
+    """Rows by a time, the row's id deciding ties; unknown times last, or first if descending."""
+
+    at: str
+    row_id: str
+    descending: bool = False
+
+    def order(self) -> list[Column]:
+        return [self.sorted(F.col(self.at)), self.sorted(F.col(self.row_id))]
+
+    def sorted(self, c: Column) -> Column:
+        return c.desc_nulls_first() if self.descending else c.asc_nulls_last()
+
+
+# Ids of one run at an instant: two to the power of this.
+RUN_ID_BITS = 20
+
+
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], into: str
+    df: DataFrame, keys: Sequence[str], by: ByTime, into: str, copies: str | None = None
 ) -> DataFrame:
     """Number all rows of every group from 1, however many rows a group has.
 
-    The rows are range-partitioned by group and order, which spreads a large group over
-    many partitions. They are numbered within their partition and shifted by the rows the
-    group has in earlier ones. ``order`` has to be a total order within a group.
+    A run is an instant of a group and a range of a million ids; it depends on nothing but
+    the row. Rows are counted per run before any shuffle; two running sums, over a group's
+    days and over a day's runs, say where a run starts; and only the rows of one run are
+    sorted together, also where most of a group is of one instant. Nothing is stored, no
+    job runs while the plan is built and no task sees a whole group. ``row_id`` has to be
+    different in each row of a group at an instant.
 
-    The checkpoint pins the partition each row fell in: both branches below rely on it,
-    also after a lost executor.
+    With ``copies`` every row stands for that many equal rows: ``into`` is the number of
+    the last of them.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (
-        df.repartitionByRange(*(F.col(key) for key in keys), *order)
-        .withColumn("range_part", F.spark_partition_id())
-        .checkpoint()
+    weight = F.col(copies) if copies else F.lit(1)
+    # Structs are never null, so that rows with null keys or times meet as well.
+    run = F.struct(
+        F.struct(*keys).alias("group"),
+        F.to_date(by.at).alias("day"),
+        F.col(by.at).alias("at"),
+        F.shiftright(F.col(by.row_id).cast("bigint"), RUN_ID_BITS).alias("ids"),
     )
-    in_part = Window.partitionBy(*keys, "range_part").orderBy(*order)
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("range_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("its_run", run)
+    in_run = F.sum(weight).over(_up_to(Window.partitionBy("its_run").orderBy(*by.order()), 0))
+
+    runs = rows.groupBy("its_run").agg(F.sum(weight).alias("rows"))
+    runs = runs.withColumn("its_day", F.struct("its_run.group", "its_run.day"))
+    days = runs.groupBy("its_day").agg(F.sum("rows").alias("rows"))
+    group_days = Window.partitionBy("its_day.group").orderBy(by.sorted(F.col("its_day.day")))
+    day_runs = Window.partitionBy("its_day").orderBy(
+        by.sorted(F.col("its_run.at")), by.sorted(F.col("its_run.ids"))
     )
-    # Only the group at the lower edge of a partition can have rows before it, so the
-    # shifts are at most as many as the partitions.
-    shifts = (
-        ranged.groupBy(*keys, "range_part")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("shift", F.sum("rows").over(earlier))
-        .where(F.col("shift") > 0)
+    day_starts = days.select("its_day", F.sum("rows").over(_up_to(group_days, -1)).alias("day_start"))
+    starts = (
+        runs.select("its_run", "its_day", F.sum("rows").over(_up_to(day_runs, -1)).alias("run_start"))
+        .join(day_starts, "its_day")
         .select(
-            *(F.col(key).alias(f"shift_{key}") for key in keys),
-            F.col("range_part").alias("shift_part"),
-            "shift",
+            "its_run",
+            (F.coalesce("day_start", F.lit(0)) + F.coalesce("run_start", F.lit(0))).alias("start"),
         )
     )
-    same_group = F.col("range_part") == F.col("shift_part")
-    for key in keys:
-        same_group = same_group & F.col(key).eqNullSafe(F.col(f"shift_{key}"))
     return (
-        ranged.withColumn("in_part", F.row_number().over(in_part))
-        .join(F.broadcast(shifts), same_group, "left")
-        .withColumn(into, F.col("in_part") + F.coalesce(F.col("shift"), F.lit(0)))
-        .select(*df.columns, into)
+        rows.withColumn("in_run", in_run)
+        .join(starts, "its_run")
+        .select(*df.columns, (F.col("start") + F.col("in_run")).alias(into))
     )
+
+
+def _up_to(window: WindowSpec, last: int) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, last)

@@ -7,10 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.operators.sizing import broadcast_if_small
-
-# User rows sharing one username that are still pushed to the scans as a list of ids.
-MAX_ACCOUNTS = 1_000
+from claimwright.operators.lookups import stored
 
 WORKERS_TYPE = "array<struct<worker_id:bigint,copies:int>>"
 
@@ -18,31 +15,16 @@ WORKERS_TYPE = "array<struct<worker_id:bigint,copies:int>>"
 class WorkerScope:
     """Maps user ids to workers, for one worker or for all of them.
 
-    A worker is a username; its ``worker_id`` is the smallest user id under that name.
-    For one worker the user ids become literals, so they reach the parquet scans as
-    filters; a username with too many of them is joined instead. For all workers no join
-    is needed unless some username has several rows.
+    A worker is a username; its ``worker_id`` is the smallest user id under that name. Most
+    workers have one user row, and then a user id is its worker's id without a join. The
+    other ids of a username are a stored table of aliases, joined wherever ids are mapped.
+    For one worker a test on the range of its user ids reaches the scans as well.
     """
 
     def __init__(self, users: DataFrame, username: str | None) -> None:
         self.users = users.where(F.col("username").isNotNull())
         self.username = username
 
-    @cached_property
-    def ids(self) -> list[int] | None:
-        """User ids of the one worker; None when the run goes over all workers."""
-        if self.username is None:
-            return None
-        rows = (
-            self.users.where(F.col("username") == self.username)
-            .select("id")
-            .limit(MAX_ACCOUNTS + 1)
-            .collect()
-        )
-        if len(rows) > MAX_ACCOUNTS:
-            return None
-        return sorted({row.id for row in rows})
-
     @cached_property
     def workers(self) -> DataFrame:
         """worker_id and username of the workers of this run."""
@@ -53,23 +35,39 @@ class WorkerScope:
             F.min("id").alias("worker_id")
         )
 
+    @cached_property
+    def _span(self) -> tuple[int | None, int | None]:
+        """Smallest and largest user id of the one worker; no ids if nobody has the name."""
+        own = self.users.where(F.col("username") == self.username)
+        return tuple(own.agg(F.min("id"), F.max("id")).first())
+
     @cached_property
     def _aliases(self) -> DataFrame | None:
         """User ids that stand for another id of the same username, if there are any."""
-        shared = (
-            self.users.groupBy("username")
-            .agg(F.min("id").alias("worker_id"), F.count("*").alias("accounts"))
-            .where(F.col("accounts") > 1)
-            .select("username", "worker_id")
+        users = self.users
+        if self.username is not None:
+            least, most = self._span
+            if least == most:
+                return None
+            users = users.where(F.col("username") == self.username)
+        firsts = users.groupBy("username").agg(
+            F.min("id").alias("alias_of"), F.max("id").alias("last")
         )
-        if shared.isEmpty():
-            return None
+        shared = firsts.where(F.col("alias_of") < F.col("last")).drop("last")
         aliases = (
-            self.users.join(shared, "username")
-            .where(F.col("id") != F.col("worker_id"))
-            .select(F.col("id").alias("alias_id"), F.col("worker_id").alias("alias_of"))
+            users.join(shared, "username")
+            .where(F.col("id") != F.col("alias_of"))
+            .select(F.col("id").alias("alias_id"), "alias_of")
+            .distinct()
         )
-        return broadcast_if_small(aliases)
+        kept = stored(aliases, "aliases")
+        return kept.joinable() if kept.rows else None
+
+    def _possible(self, user_id: str) -> Column:
+        """What the scans can tell of a user id that may stand for a worker of this run."""
+        if self.username is None:
+            return F.col(user_id).isNotNull()
+        return F.col(user_id).between(*(F.lit(end).cast("bigint") for end in self._span))
 
     def _worker_of(self, df: DataFrame, user_id: str, into: str) -> DataFrame:
         """Add the worker a user id stands for."""
@@ -83,10 +81,7 @@ class WorkerScope:
 
     def created_and_modified(self, df: DataFrame) -> DataFrame:
         """Rows created and last modified by the same worker, with its ``worker_id``."""
-        if self.ids is not None:
-            return df.where(
-                F.col("created_by_id").isin(self.ids) & F.col("last_modified_by_id").isin(self.ids)
-            ).withColumn("worker_id", self._only_worker)
+        df = df.where(self._possible("created_by_id") & self._possible("last_modified_by_id"))
         df = self._worker_of(df, "created_by_id", "worker_id")
         df = self._worker_of(df, "last_modified_by_id", "modifier")
         return self._wanted(df.where(F.col("worker_id") == F.col("modifier")).drop("modifier"))
@@ -97,28 +92,19 @@ class WorkerScope:
         Each entry has the worker and the number of its user rows that match: an OR join
         meets both the creator's and the modifier's row when they differ.
         """
-        created, modified = F.col("created_by_id"), F.col("last_modified_by_id")
-        if self.ids is not None:
-            by_creator = F.coalesce(created.isin(self.ids), F.lit(False))
-            by_modifier = F.coalesce(modified.isin(self.ids), F.lit(False))
-            copies = by_creator.cast("int") + (
-                by_modifier & ~modified.eqNullSafe(created)
-            ).cast("int")
-            only = F.array(_worker(self._only_worker, copies)).cast(WORKERS_TYPE)
-            return df.withColumn("workers", F.when(copies > 0, only).otherwise(_nobody()))
         df = self._worker_of(df, "created_by_id", "creator")
         df = self._worker_of(df, "last_modified_by_id", "modifier")
         creator, modifier = F.col("creator"), F.col("modifier")
-        both = F.array(_worker(creator, F.when(created == modified, 1).otherwise(2)))
+        rows = F.when(F.col("created_by_id") == F.col("last_modified_by_id"), 1).otherwise(2)
         each = F.array_compact(
             F.array(
                 F.when(creator.isNotNull(), _worker(creator, F.lit(1))),
                 F.when(modifier.isNotNull(), _worker(modifier, F.lit(1))),
             )
         )
-        workers = F.when(creator == modifier, both.cast(WORKERS_TYPE)).otherwise(
-            each.cast(WORKERS_TYPE)
-        )
+        workers = F.when(
+            creator == modifier, F.array(_worker(creator, rows)).cast(WORKERS_TYPE)
+        ).otherwise(each.cast(WORKERS_TYPE))
         if self.username is not None:
             only = self._only_worker
             workers = F.filter(workers, lambda w: w["worker_id"] == only)
@@ -126,23 +112,13 @@ class WorkerScope:
 
     def created_or_modified(self, df: DataFrame) -> DataFrame:
         """Rows created or last modified by a worker, with their ``workers``."""
-        if self.ids is not None:
-            # The plain test reaches the scan.
-            df = df.where(
-                F.col("created_by_id").isin(self.ids) | F.col("last_modified_by_id").isin(self.ids)
-            )
-            return self.with_workers(df)
-        known = F.col("created_by_id").isNotNull() | F.col("last_modified_by_id").isNotNull()
-        return self.with_workers(df.where(known))
+        possible = self._possible("created_by_id") | self._possible("last_modified_by_id")
+        return self.with_workers(df.where(possible)).where(F.size("workers") > 0)
 
     def modified(self, df: DataFrame) -> DataFrame:
         """Rows last modified by a worker, with its ``worker_id``."""
-        if self.ids is not None:
-            return df.where(F.col("last_modified_by_id").isin(self.ids)).withColumn(
-                "worker_id", self._only_worker
-            )
-        df = self._worker_of(df, "last_modified_by_id", "worker_id")
-        return self._wanted(df.where(F.col("worker_id").isNotNull()))
+        df = df.where(self._possible("last_modified_by_id"))
+        return self._wanted(self._worker_of(df, "last_modified_by_id", "worker_id"))
 
     def named(self, df: DataFrame) -> DataFrame:
         """Keep the rows of known workers and add the username as ``worker``."""
@@ -154,15 +130,7 @@ class WorkerScope:
 
     @property
     def _only_worker(self) -> Column:
-        if self.ids is not None:
-            only = min(self.ids) if self.ids else None
-        else:
-            only = self.workers.first().worker_id
-        return F.lit(only).cast("bigint")
-
-
-def _nobody() -> Column:
-    return F.array().cast(WORKERS_TYPE)
+        return F.lit(self._span[0]).cast("bigint")
 
 
 def _worker(worker_id: Column, copies: Column) -> Column:

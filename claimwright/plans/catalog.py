@@ -1,7 +1,7 @@
 """Every derived dataset by name, for use outside the report.
 
-The columns are those a worker would read; days and times keep their types. Datasets of
-one worker drop ``worker_id``, which is the same in every row.
+The columns are those a worker would read; days and times keep their types. Over all
+workers the datasets that are a worker's own have a leading ``worker`` column.
 """
 
 from __future__ import annotations
@@ -20,13 +20,21 @@ from claimwright.functions.periods import (
     on_days,
 )
 from claimwright.functions.texts import digits_at_least, digits_number
-from claimwright.operators.numbering import number_rows
+from claimwright.operators.numbering import ByTime, number_rows
 from claimwright.plans import activity, family, tuberculosis, vaccines, visits
 from claimwright.plans.run import Run
 
 Dataset = Callable[[Run], DataFrame]
 
 
+def _own(run: Run, df: DataFrame) -> DataFrame:
+    """A dataset of workers: without ``worker_id`` for one worker, else with the name."""
+    if run.for_one_worker:
+        return df.drop("worker_id")
+    named = run.scope.named(df)
+    return named.select("worker", *(c for c in named.columns if c not in ("worker", "worker_id")))
+
+
 def _client_user(run: Run) -> DataFrame:
     users = run.scope.users
     if run.params.username is None:
@@ -40,25 +48,29 @@ def _nth(kind: str, n: int, in_period: bool, columns: tuple[str, ...] = ()) -> D
     def build(run: Run) -> DataFrame:
         df = visits.nth_visit(run, kind, n, in_period)
         own = [F.col(source).alias(name) for source, name in zip(("note", "mode"), columns)]
-        return df.select("person_id", F.col("day").alias("visit_date"), *own)
+        df = df.select("worker_id", "person_id", F.col("day").alias("visit_date"), *own)
+        return _own(run, df.distinct())
 
     return build
 
 
 def _hbnc_visits(run: Run) -> DataFrame:
-    return visits.numbered_visits(run, "hbnc").select(
+    numbered = visits.numbered_visits(run, "hbnc").select(
+        "worker_id",
         "person_id",
         F.to_date("at").alias("visit_date"),
         F.col("note").alias("place_of_delivery"),
         F.col("mode").alias("delivery_type"),
         "visit_number",
     )
+    return _own(run, numbered)
 
 
 def _hbyc_visits(run: Run) -> DataFrame:
-    return visits.numbered_visits(run, "hbyc").select(
-        "person_id", F.to_date("at").alias("visit_date"), "visit_number"
+    numbered = visits.numbered_visits(run, "hbyc").select(
+        "worker_id", "person_id", F.to_date("at").alias("visit_date"), "visit_number"
     )
+    return _own(run, numbered)
 
 
 def _anc_visits(run: Run) -> DataFrame:
@@ -69,11 +81,12 @@ def _anc_visits(run: Run) -> DataFrame:
     own = run.tables["anc"].select(
         F.col("id").alias("visit_id"), "pmsma", "ifa_180", "td1", "td2", "td_booster"
     )
-    return (
+    numbered = (
         visits.numbered_visits(run, "anc")
         .join(own, "visit_id")
         .join(people, "person_id")
         .select(
+            "worker_id",
             "person_id",
             F.to_date("at").alias("visit_date"),
             "pmsma",
@@ -88,6 +101,7 @@ def _anc_visits(run: Run) -> DataFrame:
             "last_visit_number",
         )
     )
+    return _own(run, numbered)
 
 
 def _anc_abortions(run: Run) -> DataFrame:
@@ -99,27 +113,28 @@ def _anc_abortions(run: Run) -> DataFrame:
         .join(run.live_people(), "person_id")
     )
     rows = run.tables["abortion"].withColumnRenamed("individual_id", "person_id")
-    return rows.join(met, "person_id").select(
-        "person_id", "date_of_abortion", "date_of_discharge", "copies"
+    met_rows = rows.join(met, "person_id").select(
+        "worker_id", "person_id", "date_of_abortion", "date_of_discharge", "copies"
     )
+    return _own(run, met_rows)
 
 
 def _pmsma(run: Run) -> DataFrame:
-    return visits.pmsma_visits(run).select("person_id", F.col("day").alias("visit_date"))
+    found = visits.pmsma_visits(run)
+    return _own(run, found.select("worker_id", "person_id", F.col("day").alias("visit_date")))
 
 
 def _dose(run: Run, doses: DataFrame) -> DataFrame:
-    return doses.join(run.live_people(), "person_id").select(
-        "person_id", F.col("day").alias("dose_date")
-    )
+    found = doses.join(run.live_people(), "person_id")
+    return _own(run, found.select("worker_id", "person_id", F.col("day").alias("dose_date")))
 
 
 def _series(use: str) -> Dataset:
-    return lambda run: vaccines.series(run, use).drop("worker_id")
+    return lambda run: _own(run, vaccines.series(run, use))
 
 
 def _fp_delivery(run: Run) -> DataFrame:
-    return family.delivery_followups(run).drop("worker_id")
+    return family.delivery_followups(run)
 
 
 def _tb_followups(run: Run) -> DataFrame:
@@ -142,7 +157,7 @@ PLACE = ("place_of_delivery", "delivery_type")
 
 DATASETS: dict[str, Dataset] = {
     "d01_client_user": _client_user,
-    "d02_activity": lambda run: activity.activity(run).drop("worker_id"),
+    "d02_activity": lambda run: _own(run, activity.activity(run)),
     "d03_activity_total": activity.activity_total,
     "d04_hbnc_visits": _hbnc_visits,
     "d05_hbyc_visits": _hbyc_visits,
@@ -233,9 +248,7 @@ def _digits(run: Run) -> DataFrame:
 
 
 def _filtered_max(run: Run) -> DataFrame:
-    numbered = tuberculosis.numbered_followups(run)
-    latest = F.when(F.col("first_visit_number") == 1, F.col("encounter_date_time"))
-    return numbered.groupBy("person_id").agg(F.max(latest).alias("latest_encounter"))
+    return tuberculosis.latest_encounters(run).select("person_id", "latest_encounter")
 
 
 def _group_finer(run: Run) -> DataFrame:
@@ -251,14 +264,14 @@ def _group_finer(run: Run) -> DataFrame:
 
 def _nulls_last(run: Run) -> DataFrame:
     rows = run.tables["hbnc"].select("id", "individual_id", "encounter_date_time")
-    order = [F.col("encounter_date_time").asc_nulls_last(), F.col("id").asc()]
-    return number_rows(rows, ["individual_id"], order, "nth").drop("encounter_date_time")
+    by = ByTime("encounter_date_time", "id")
+    return number_rows(rows, ["individual_id"], by, "nth").drop("encounter_date_time")
 
 
 def _nulls_first(run: Run) -> DataFrame:
     rows = run.tables["hbnc"].select("id", "individual_id", "encounter_date_time")
-    order = [F.col("encounter_date_time").desc_nulls_first(), F.col("id").desc()]
-    return number_rows(rows, ["individual_id"], order, "nth").drop("encounter_date_time")
+    by = ByTime("encounter_date_time", "id", descending=True)
+    return number_rows(rows, ["individual_id"], by, "nth").drop("encounter_date_time")
 
 
 # Single operators over whole tables, for all workers.

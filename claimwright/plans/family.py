@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.functions.periods import day_text
+from claimwright.functions.periods import day_text, live
 from claimwright.functions.texts import digits_at_least
-from claimwright.plans.run import Run, any_of, variants
+from claimwright.plans.run import Run, any_of, union_all, variants
 
 
 def _ongoing(run: Run, table: str) -> DataFrame:
@@ -19,62 +21,81 @@ def _enrolled(run: Run, table: str) -> DataFrame:
 
 
 def delivery_followups(run: Run) -> DataFrame:
-    """Deliveries and family planning follow-ups of live people, as legs of their join.
+    """Deliveries, planning enrolments and follow-ups of live people, as legs of their join.
 
-    Per person the join meets every delivery with every follow-up, once per ongoing
-    planning enrolment and pregnancy. A leg lists the rows of one side, and ``copies`` how
-    often the join would repeat each of them, so the pairs themselves are never made.
+    Whoever's the people are. Per person the join meets every delivery with every ongoing
+    planning enrolment and every follow-up, once per ongoing pregnancy. A leg lists the rows
+    of one side, and ``copies`` how often the join would repeat each of them: the product of
+    the other sides' rows, so the combinations themselves are never made.
     """
 
-    def per_person(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.col("individual_id").alias("person_id")).agg(
-            F.count("*").alias(name)
+    def side(table: str, leg: str, columns: dict[str, str], ongoing: Column) -> DataFrame:
+        return (
+            run.tables[table]
+            .where(ongoing)
+            .select(
+                F.col("individual_id").alias("person_id"),
+                F.lit(leg).alias("leg"),
+                *(F.col(source).alias(name) for name, source in columns.items()),
+            )
         )
 
+    not_ended = F.col("program_exit_date_time").isNull()
+    sides = [
+        side(
+            "delivery",
+            "delivery",
+            {"date_of_delivery": "date_of_delivery", "delivery_encounter": "encounter_date_time"},
+            F.col("cancel_date_time").isNull(),
+        ),
+        side(
+            "fp_followup",
+            "followup",
+            {
+                "date_of_sterilisation": "date_of_sterilisation",
+                "date_of_copper_t": "date_of_copper_t",
+                "followup_encounter": "encounter_date_time",
+            },
+            F.lit(True),
+        ),
+        side("family_planning", "planning", {"planning_enrolment": "enrolment_date_time"}, not_ended),
+    ]
+    pregnancies = side("pregnancy", "pregnancy", {}, not_ended)
+    legs = ["delivery", "followup", "planning", "pregnancy"]
+    met = (
+        union_all([df.select("person_id", "leg") for df in [*sides, pregnancies]])
+        .groupBy("person_id")
+        .agg(*(F.count_if(F.col("leg") == leg).alias(f"{leg}_rows") for leg in legs))
+        .where(" and ".join(f"{leg}_rows > 0" for leg in legs))
+    )
     people = (
-        run.people_of_workers()
-        .where("is_live")
-        .select("person_id", F.explode("workers").alias("w"))
-        .select("person_id", F.col("w.worker_id").alias("worker_id"))
-        .join(per_person(_ongoing(run, "family_planning"), "plannings"), "person_id")
-        .join(per_person(_ongoing(run, "pregnancy"), "pregnancies"), "person_id")
-        .withColumn("enrolments", F.col("plannings") * F.col("pregnancies"))
+        run.tables["individual"]
+        .where(live(F.col("is_voided")))
+        .select(F.col("id").alias("person_id"), "created_by_id", "last_modified_by_id")
     )
-    deliveries = run.narrow(run.tables["delivery"].where(F.col("cancel_date_time").isNull()))
-    followups = run.narrow(run.tables["fp_followup"])
-    no_day, no_time = F.lit(None).cast("date"), F.lit(None).cast("timestamp")
 
-    delivery_leg = (
-        deliveries.withColumnRenamed("individual_id", "person_id")
-        .join(people.join(per_person(followups, "others"), "person_id"), "person_id")
+    def others(leg: str) -> Column:
+        return reduce(Column.__mul__, (F.col(f"{other}_rows") for other in legs if other != leg))
+
+    copies = F.coalesce(*(F.when(F.col("leg") == leg, others(leg)) for leg in legs[:3]))
+    rows = reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), sides)
+    return (
+        rows.join(people.join(met, "person_id"), "person_id")
+        .withColumn("copies", copies)
         .select(
-            "worker_id",
             "person_id",
-            F.lit("delivery").alias("leg"),
+            "created_by_id",
+            "last_modified_by_id",
+            "leg",
             "date_of_delivery",
-            F.col("encounter_date_time").alias("delivery_encounter"),
-            no_day.alias("date_of_sterilisation"),
-            no_day.alias("date_of_copper_t"),
-            no_time.alias("followup_encounter"),
-            (F.col("enrolments") * F.col("others")).alias("copies"),
-        )
-    )
-    followup_leg = (
-        followups.withColumnRenamed("individual_id", "person_id")
-        .join(people.join(per_person(deliveries, "others"), "person_id"), "person_id")
-        .select(
-            "worker_id",
-            "person_id",
-            F.lit("followup").alias("leg"),
-            no_day.alias("date_of_delivery"),
-            no_time.alias("delivery_encounter"),
+            "delivery_encounter",
             "date_of_sterilisation",
             "date_of_copper_t",
-            F.col("encounter_date_time").alias("followup_encounter"),
-            (F.col("enrolments") * F.col("others")).alias("copies"),
+            "followup_encounter",
+            "planning_enrolment",
+            "copies",
         )
     )
-    return delivery_leg.union(followup_leg)
 
 
 def method_after_delivery(run: Run, rules: set[str]) -> DataFrame | None:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwright.functions.texts import cell, leading_integer, month_year_hi
-from claimwright.operators.numbering import number_rows
+from claimwright.operators.numbering import running_copies
 from claimwright.params import ReportParams
 from claimwright.plans.rules import LINE_COLUMNS, RULES, Scope, priced_lines
 from claimwright.plans.run import Run
@@ -66,7 +66,7 @@ def claims(run: Run, rules: list[str] = ALL_RULES) -> DataFrame:
 def _claimed(run: Run, rules: list[str]) -> DataFrame:
     """Priced lines with the username; lines of unknown users are dropped."""
     lines = priced_lines(run, rules)
-    if run.scope.ids is not None:
+    if run.for_one_worker:
         return lines.withColumn(
             "worker", F.when(F.col("worker_id").isNotNull(), F.lit(run.params.username))
         )
@@ -78,20 +78,31 @@ def form_lines(run: Run) -> DataFrame:
     """Claim lines with their serial number ``s_no`` on the worker's form.
 
     The unscoped lines come first, so they have the same numbers on every form and are
-    numbered once; a worker's own lines follow, in rule and date order.
+    numbered once; a worker's own lines follow, in rule and date order. Lines that print
+    alike are counted before they are numbered: what a worker's window holds grows with the
+    rules and days of the calendar, not with the people.
     """
     shared = F.col("rule").isin(UNSCOPED)
-    lines = _claimed(run, ALL_RULES)
     order = [
         F.col("rule").asc(),
         F.col("work_completion_date").asc_nulls_last(),
         F.col("date_of_registration").asc_nulls_last(),
         F.col("beneficiary_count").asc(),
     ]
-    numbered = number_rows(lines, ["worker"], order, "own_no")
-    before = numbered.where(shared).agg(F.count("*")).scalar()
-    own_no = F.col("own_no")
-    return numbered.withColumn("s_no", F.when(shared, own_no).otherwise(own_no + before))
+    alike = (
+        _claimed(run, ALL_RULES)
+        .groupBy("worker", "rule", *LINE_COLUMNS)
+        .agg(F.count("*").alias("copies"))
+        .withColumn("last", running_copies(["worker"], order, "copies"))
+    )
+    numbers = F.sequence(F.col("last") - F.col("copies") + 1, F.col("last"))
+    before = _claimed(run, UNSCOPED).agg(F.count("*")).scalar()
+    return alike.withColumn("own_no", F.explode(numbers)).select(
+        "worker",
+        "rule",
+        *LINE_COLUMNS,
+        F.when(shared, F.col("own_no")).otherwise(F.col("own_no") + before).alias("s_no"),
+    )
 
 
 def claim_form(run: Run) -> DataFrame:
@@ -182,9 +193,44 @@ def run_report(name: str, tables: Tables, params: ReportParams) -> DataFrame:
     return report(Run(tables, params))
 
 
-def write_forms(form: DataFrame, directory: str) -> None:
-    """Write forms of all workers as parquet, one folder per worker.
+# Folders that the forms of a batch are dealt to.
+FORM_FOLDERS = 64
+
+
+def _folder_of(worker: Column, folders: int) -> Column:
+    return F.pmod(F.xxhash64(worker), F.lit(folders)).cast("int")
+
+
+def write_forms(form: DataFrame, directory: str, folders: int = FORM_FOLDERS) -> None:
+    """Write the forms of all workers as Parquet, in two parts.
 
-    The unscoped lines, which open every form, go to the folder of the null worker.
+    ``shared`` has the unscoped lines, which open every form, once. ``own`` has each
+    worker's lines, dealt to ``folders`` folders and sorted by worker and number within
+    files, so that a reader opens one folder and skips to the worker. A worker with very
+    many lines is spread over several files.
     """
-    form.write.partitionBy("worker").parquet(directory)
+    form = form.withColumn("s_no", F.col("s_no").cast("bigint"))
+    form.where(F.col("worker").isNull()).drop("worker").write.parquet(f"{directory}/shared")
+    (
+        form.where(F.col("worker").isNotNull())
+        .withColumn("folder", _folder_of(F.col("worker"), folders))
+        .repartitionByRange("folder", "worker", "s_no")
+        .sortWithinPartitions("folder", "worker", "s_no")
+        .write.partitionBy("folder")
+        .parquet(f"{directory}/own")
+    )
+
+
+def claim_form_of(
+    spark: SparkSession, directory: str, worker: str, folders: int = FORM_FOLDERS
+) -> DataFrame:
+    """One worker's whole form out of a written batch, the shared block before the own one.
+
+    The same rows as a run for that worker alone. ``folders`` is that of the writing.
+    """
+    own = spark.read.parquet(f"{directory}/own").where(
+        (F.col("folder") == _folder_of(F.lit(worker), folders)) & (F.col("worker") == worker)
+    )
+    shared = spark.read.parquet(f"{directory}/shared")
+    form = shared.select(*FORM_COLUMNS).union(own.select(*FORM_COLUMNS)).orderBy("s_no")
+    return form.withColumn("s_no", F.col("s_no").cast("string"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from claimwright.functions.periods import at_instants, live, on_days
 from claimwright.operators.scope import WorkerScope
-from claimwright.operators.sizing import broadcast_if_small
+from claimwright.operators.lookups import stored
 from claimwright.params import ReportParams
 from claimwright.sources.tables import Tables
 
@@ -25,9 +25,9 @@ class Run:
         self._lookups: dict[str, DataFrame] = {}
 
     def lookup(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A small table used by several rules: built, and its size checked, once."""
+        """A small table used by several rules: built, stored and measured once."""
         if name not in self._lookups:
-            self._lookups[name] = broadcast_if_small(build())
+            self._lookups[name] = stored(build(), name.replace(" ", "-")).joinable()
         return self._lookups[name]
 
     def on_days(self, name: str) -> Column:
@@ -60,8 +60,8 @@ class Run:
 
     @property
     def for_one_worker(self) -> bool:
-        """The run covers one worker, whose user ids are known."""
-        return self.scope.ids is not None
+        """The run covers one worker."""
+        return self.params.username is not None
 
     def narrow(self, df: DataFrame, person: str = "individual_id") -> DataFrame:
         """For one worker, keep the rows of the worker's own people before any shuffle.

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimwright.functions.ages import between_one_and_six_months
 from claimwright.functions.periods import day_text
-from claimwright.operators.numbering import number_rows
+from claimwright.operators.numbering import ByTime, number_rows
 from claimwright.plans.run import Run, union_all, variants
 
 
@@ -38,14 +40,10 @@ def numbered_followups(run: Run) -> DataFrame:
 
     Copies of a follow-up take consecutive numbers, given as a range.
     """
-    order = [F.col("encounter_date_time").desc_nulls_first(), F.col("followup_id").desc()]
-    last = F.col("nth") * F.col("copies")
-    return (
-        number_rows(followups(run), ["person_id"], order, "nth")
-        .withColumn("first_visit_number", last - F.col("copies") + 1)
-        .withColumn("last_visit_number", last)
-        .drop("nth")
-    )
+    by = ByTime("encounter_date_time", "followup_id", descending=True)
+    numbered = number_rows(followups(run), ["person_id"], by, "last_visit_number", "copies")
+    first = F.col("last_visit_number") - F.col("copies") + 1
+    return numbered.withColumn("first_visit_number", first)
 
 
 def confirmed(run: Run) -> DataFrame:
@@ -68,29 +66,61 @@ def _completed(run: Run) -> Column:
     return (F.col("tb_status") == "Treatment completed") & run.on_days("treatment_completion_date")
 
 
+def _recency(followup_id: str) -> Column:
+    """Encounter time and id as one number that grows with both; null without a time.
+
+    A number of fixed width, so that the latest row is found by a hash aggregation: the
+    microseconds take the digits above the ids, which are shifted to be positive.
+    """
+    wide = "decimal(38,0)"
+    micros = F.unix_micros(F.col("encounter_date_time").cast("timestamp")).cast(wide)
+    return micros * F.lit(Decimal(1 << 64)) + (F.col(followup_id).cast(wide) + F.lit(Decimal(1 << 63)))
+
+
+def latest_encounters(run: Run) -> DataFrame:
+    """Per enrolled person: the time of the latest follow-up, null if some time is unknown."""
+    return _latest(followups(run).withColumn("recency", _recency("followup_id")))
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """``person_id, newest, latest_encounter``: what counts as each person's latest row.
+
+    An unknown time counts as the latest, and then no known one does.
+    """
+    unknown = F.max(F.col("encounter_date_time").isNull())
+    return rows.groupBy("person_id").agg(
+        F.when(~unknown, F.max("recency")).alias("newest"),
+        F.when(~unknown, F.max("encounter_date_time")).alias("latest_encounter"),
+    )
+
+
 def latest_by_type(run: Run) -> DataFrame:
     """Per person, type and encounter time: that time if it is the person's latest, else null."""
-    numbered = numbered_followups(run).where(F.col("encounter_date_time").isNotNull())
-    latest = F.when(F.col("first_visit_number") == 1, F.col("encounter_date_time"))
-    return numbered.groupBy(
-        "person_id", "created_by_id", "last_modified_by_id", "type_of_tb", "encounter_date_time"
-    ).agg(F.max(latest).alias("latest_encounter"))
+    kinds = ["person_id", "created_by_id", "last_modified_by_id", "type_of_tb", "encounter_date_time"]
+    groups = (
+        followups(run)
+        .withColumn("recency", _recency("followup_id"))
+        .groupBy(*kinds)
+        .agg(F.max("recency").alias("recency"))
+    )
+    newest = _latest(groups).select("person_id", "newest")
+    latest = F.when(F.col("recency") == F.col("newest"), F.col("encounter_date_time"))
+    return (
+        groups.where(F.col("encounter_date_time").isNotNull())
+        .join(newest, "person_id")
+        .select(*kinds, latest.alias("latest_encounter"))
+    )
 
 
 def _case_types(run: Run) -> DataFrame:
-    """Per enrolled person: the types ever seen, and the day and type of the latest follow-up.
+    """Per enrolled person: the types ever seen, and the day of the latest follow-up if resistant.
 
-    One aggregation, combined on the map side; a person's follow-ups are never gathered.
+    One hash aggregation, combined on the map side; a person's follow-ups are never
+    gathered. The last digit of the newest row's number says whether it is a resistant one.
     """
     at = F.col("encounter_date_time")
-    newest = F.max(
-        F.struct(
-            at.isNull().alias("unknown"),
-            at.alias("at"),
-            F.col("id").alias("id"),
-            F.col("type_of_tb").alias("type"),
-        )
-    )
+    resistant = F.coalesce(F.col("type_of_tb") == "Drug resistant", F.lit(False))
+    marked = _recency("id") * 2 + resistant.cast("int")
 
     def seen(kind: str) -> Column:
         return F.coalesce(F.max(F.col("type_of_tb") == kind), F.lit(False))
@@ -100,7 +130,9 @@ def _case_types(run: Run) -> DataFrame:
         run.narrow(run.tables["tb_followup"])
         .groupBy("individual_id")
         .agg(
-            newest.alias("newest"),
+            F.max(at.isNull()).alias("unknown"),
+            F.max(at).alias("at"),
+            F.max(marked).alias("newest"),
             seen("Drug resistant").alias("resistant"),
             seen("Drug sensitive").alias("sensitive"),
         )
@@ -110,7 +142,7 @@ def _case_types(run: Run) -> DataFrame:
             F.col("individual_id").alias("person_id"),
             "resistant",
             "sensitive",
-            F.when(F.col("newest.type") == "Drug resistant", F.to_date("newest.at")).alias(
+            F.when(~F.col("unknown") & (F.pmod("newest", F.lit(2)) == 1), F.to_date("at")).alias(
                 "latest"
             ),
         )

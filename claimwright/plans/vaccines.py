@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimwright.functions.ages import full_years
 from claimwright.functions.periods import day_text, neither_nor_as_written
+from claimwright.operators.key_filter import KeyFilter, worth_filtering
 from claimwright.plans.run import Run, variants
 
 # Vaccine names of the two series.
@@ -74,14 +75,34 @@ def completed_items(run: Run, names: set[str]) -> DataFrame:
     )
 
 
-def vaccinations(run: Run, uses: list[str]) -> DataFrame:
+def _checklists_of_active(run: Run) -> KeyFilter:
+    """Checklists, at least all, of children with an item completed in the period."""
+    child = run.tables["child"].select(
+        F.col("id").alias("program_enrolment_id"), F.col("individual_id").alias("person_id")
+    )
+    checklists = run.tables["checklist"].select(
+        F.col("id").alias("checklist_id"), "program_enrolment_id"
+    )
+    done = run.tables["checklist_item"].where(run.on_days("completion_date"))
+    for key, rows in (
+        ("checklist_id", checklists),
+        ("program_enrolment_id", child),
+        ("person_id", child),
+        ("program_enrolment_id", checklists),
+    ):
+        done = rows.where(KeyFilter(done, key).may_hold(key))
+    return KeyFilter(done, "checklist_id")
+
+
+def vaccinations(run: Run, uses: list[str], in_period: bool = False) -> DataFrame:
     """Completed items per person and use: first and last completion, number of rows.
 
     A series has one row per person, ``key`` being null; 'dpt2' has one row per day. The
     enrolment has not ended.
 
     The small tables are joined first, so the items are shuffled twice: to their checklist's
-    person, and, already counted per map task, to the group.
+    person, and, already counted per map task, to the group. With ``in_period`` the series
+    may lack children without any item in the period, whose items are then not shuffled.
     """
 
     def use(name: str) -> tuple[Column, Column]:
@@ -90,7 +111,12 @@ def vaccinations(run: Run, uses: list[str]) -> DataFrame:
             F.lit(name).alias("use"), key.alias("key")
         )
 
-    items = completed_items(run, set().union(*(USES[name] for name in uses))).select(
+    done = completed_items(run, set().union(*(USES[name] for name in uses)))
+    if in_period and not run.for_one_worker and worth_filtering(run.tables["checklist_item"]):
+        active = _checklists_of_active(run).may_hold("checklist_id")
+        # The second booster counts on any day.
+        done = done.where(active | F.col("vaccine").isin(*USES["dpt2"]) if "dpt2" in uses else active)
+    items = done.select(
         "checklist_id", "completion_date", variants(*(use(name) for name in uses)).alias("u")
     )
     owners = checklist_owners(run).where(~F.col("exited")).drop("exited")
@@ -210,7 +236,7 @@ def vaccine_claims(run: Run, rules: set[str]) -> DataFrame | None:
         for side in ("last_completion", "first_completion")
     )
     return (
-        vaccinations(run, list(wanted.values()))
+        vaccinations(run, list(wanted.values()), in_period=True)
         .where(by_day | run.on_days("last_completion"))
         .select(
             rule[F.col("use")].alias("rule"),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimwright.functions.periods import day_text, live, on_days_sql
-from claimwright.operators.numbering import first_k, number_rows
+from claimwright.functions.periods import day_text, live
+from claimwright.operators.key_filter import KeyFilter, worth_filtering
+from claimwright.operators.numbering import ByTime, first_k, number_rows, running_copies
 from claimwright.plans.run import Run, union_all, variants
 
 PROGRAM = {"anc": "pregnancy", "hbnc": "child", "hbyc": "child"}
@@ -14,27 +18,50 @@ PROGRAM = {"anc": "pregnancy", "hbnc": "child", "hbyc": "child"}
 # Last visit number any rule or dataset asks for.
 LAST_VISIT = {"anc": 8, "hbnc": 7, "hbyc": 5}
 
-# Visits a kind is pivoted to. Antenatal visits are pivoted whole, because abortion rows
-# shift which encounter is the nth visit.
-PIVOTED = {"anc": (1, 2, 3, 4, 5, 6, 7, 8), "hbnc": (1, 2, 3, 6, 7), "hbyc": (5,)}
-# Visits that can complete a rule; a person without one of them in the period earns nothing.
-COMPLETING = {"anc": (1, 2, 3, 4, 5, 6, 7, 8), "hbnc": (6, 7), "hbyc": (5,)}
-# What else a rule asks of a visit, as flags. The place test of the sixth newborn visit
-# passes for every known place: it is "not home or not in transit".
-FLAGS = {
-    "anc": {"tablets": ((1, 2), "note = 'Yes'")},
-    "hbnc": {
-        "normal": ((6,), "note is not null and mode <> 'C-section'"),
-        "section": ((6,), "note is not null and mode = 'C-section'"),
-        "outside": ((7,), "note in ('Home', 'In-transit')"),
-    },
-    "hbyc": {},
+# The visits that rules pair: kind, visit number and what else has to hold. The place test
+# of the sixth newborn visit passes for every known place: it is "not home or not in transit".
+CELLS: dict[str, tuple[str, int, str]] = {
+    "anc_1": ("anc", 1, "true"),
+    "anc_2_tablets": ("anc", 2, "note = 'Yes'"),
+    "anc_4": ("anc", 4, "true"),
+    "anc_8": ("anc", 8, "true"),
+    "hbnc_1": ("hbnc", 1, "true"),
+    "hbnc_2": ("hbnc", 2, "true"),
+    "hbnc_3": ("hbnc", 3, "true"),
+    "hbnc_6_normal": ("hbnc", 6, "note is not null and mode <> 'C-section'"),
+    "hbnc_6_section": ("hbnc", 6, "note is not null and mode = 'C-section'"),
+    "hbnc_7_outside": ("hbnc", 7, "note in ('Home', 'In-transit')"),
+    "hbyc_5": ("hbyc", 5, "true"),
+}
+
+
+@dataclass(frozen=True)
+class Pairing:
+    """A visit in the period that completes a rule, and the one that registered it."""
+
+    done: str
+    registered: str
+    # The registering visit has to be in the period, too, to be shown.
+    dated: bool = False
+    # Without a registering visit there is no claim.
+    needed: bool = False
+
+
+PAIRINGS: dict[str, Pairing] = {
+    "r01": Pairing("anc_4", "anc_1"),
+    "r02": Pairing("anc_4", "anc_2_tablets", needed=True),
+    "r06": Pairing("anc_8", "anc_1"),
+    "r18": Pairing("hbnc_6_normal", "hbnc_2", dated=True),
+    "r19": Pairing("hbnc_6_section", "hbnc_3", dated=True),
+    "r20": Pairing("hbnc_7_outside", "hbnc_1", dated=True),
+    "r21": Pairing("hbyc_5", "hbnc_1", dated=True),
 }
 
+VISITOR = ("worker_id", "visitor_id")
 
-def visit_order() -> list[Column]:
-    """Earliest first, unknown times last, the encounter id deciding ties."""
-    return [F.col("at").asc_nulls_last(), F.col("visit_id").asc()]
+
+# Earliest first, unknown times last, the encounter id deciding ties.
+BY_TIME = ByTime("at", "visit_id")
 
 
 def _encounters(run: Run, kind: str) -> DataFrame:
@@ -44,10 +71,9 @@ def _encounters(run: Run, kind: str) -> DataFrame:
     return rows
 
 
-def _in_valid_enrolments(run: Run, rows: DataFrame, kinds: list[str]) -> DataFrame:
-    """Rows whose enrolment exists and is not voided, with the enrolment's ``person_id``."""
-    programs = sorted({PROGRAM[kind] for kind in kinds})
-    enrolments = union_all(
+def _valid_enrolments(run: Run, kinds: list[str]) -> DataFrame:
+    """Enrolments that are not voided: program, id and ``person_id``."""
+    return union_all(
         [
             run.tables[program]
             .where(live(F.col("is_voided")))
@@ -56,16 +82,56 @@ def _in_valid_enrolments(run: Run, rows: DataFrame, kinds: list[str]) -> DataFra
                 F.col("id").alias("enrolment_id"),
                 F.col("individual_id").alias("person_id"),
             )
-            for program in programs
+            for program in sorted({PROGRAM[kind] for kind in kinds})
         ]
     )
-    if len(programs) == 1:
+
+
+def _in_valid_enrolments(run: Run, rows: DataFrame, kinds: list[str]) -> DataFrame:
+    """Rows whose enrolment exists and is not voided, with the enrolment's ``person_id``."""
+    enrolments = _valid_enrolments(run, kinds)
+    if len({PROGRAM[kind] for kind in kinds}) == 1:
         return rows.join(enrolments.drop("program"), "enrolment_id")
     return rows.join(enrolments, ["program", "enrolment_id"])
 
 
-def worker_visits(run: Run, kinds: list[str]) -> DataFrame:
-    """Valid visits created and modified by the same worker.
+def _enrolments_of_active(run: Run, kinds: list[str], active: DataFrame) -> DataFrame:
+    """Enrolments, at least all, of the people who have one among ``active``."""
+    enrolments = _valid_enrolments(run, kinds)
+    named = enrolments.where(KeyFilter(active, "enrolment_id").may_hold("enrolment_id"))
+    return enrolments.where(KeyFilter(named, "person_id").may_hold("person_id"))
+
+
+def _active_visitors(run: Run, kinds: list[str]) -> KeyFilter:
+    """Encounter persons whose visits can matter to a claim of the period.
+
+    A claim needs a visit in the period, and the visits of everyone whose encounters belong
+    to an enrolment of the same person. Found by filters alone, from the period's scan on:
+    no visit is shuffled for it, and visits of other people are not shuffled later.
+    """
+
+    def encounters(*tests: Column) -> DataFrame:
+        return union_all(
+            [
+                _encounters(run, kind)
+                .where(reduce(Column.__and__, tests, F.lit(True)))
+                .select(F.col("program_enrolment_id").alias("enrolment_id"), "individual_id")
+                for kind in kinds
+            ]
+        )
+
+    active = encounters(run.on_days("encounter_date_time"))
+    theirs = KeyFilter(_enrolments_of_active(run, kinds, active), "enrolment_id")
+    return KeyFilter(encounters(theirs.may_hold("program_enrolment_id")), "individual_id")
+
+
+def _many_visits(run: Run, kinds: list[str]) -> bool:
+    """Whether filtering the visits pays; those of one worker are few already."""
+    return not run.for_one_worker and any(worth_filtering(run.tables[kind]) for kind in kinds)
+
+
+def worker_visits(run: Run, kinds: list[str], visitors: KeyFilter | None = None) -> DataFrame:
+    """Valid visits created and modified by the same worker, at least those of ``visitors``.
 
     ``person_id`` is the person of the enrolment, who is paid for and must not be voided;
     ``visitor_id`` is the person of the encounter, by whom visits are numbered.
@@ -74,7 +140,10 @@ def worker_visits(run: Run, kinds: list[str]) -> DataFrame:
     """
     frames = []
     for kind in kinds:
-        rows = run.scope.created_and_modified(_encounters(run, kind))
+        rows = _encounters(run, kind)
+        if visitors is not None:
+            rows = rows.where(visitors.may_hold("individual_id"))
+        rows = run.scope.created_and_modified(rows)
         note, mode = {
             "anc": (F.col("ifa_180"), F.lit(None).cast("string")),
             "hbnc": (F.col("place_of_delivery"), F.col("delivery_type")),
@@ -107,20 +176,22 @@ def abortion_rows(run: Run) -> DataFrame:
     )
 
 
-def _with_copies(run: Run, df: DataFrame) -> DataFrame:
-    """Add ``copies``, the rows each antenatal visit has after meeting the abortions.
+def repeated_visits(
+    run: Run, kinds: list[str], visitors: KeyFilter | None = None
+) -> DataFrame:
+    """Valid visits with ``copies``, the rows each has after meeting the abortions.
 
-    The copies of a visit tie with each other and with nothing else, so they take
-    consecutive visit numbers: the nth visit is encounter ``ceil(n / copies)``. No copy
-    has to be made to know that.
+    The copies of an antenatal visit tie with each other and with nothing else, so they take
+    consecutive visit numbers, and no copy has to be made to know them. The person of the
+    enrolment had the abortions: visits of one visitor can have uneven copies.
     """
-    return df.join(abortion_rows(run), "person_id", "left").withColumn(
-        "copies", F.coalesce(F.col("abortions"), F.lit(1))
-    )
-
-
-def _encounter_of(visit: int) -> str:
-    return f"cast(ceil({visit} / copies) as int)"
+    visits = worker_visits(run, kinds, visitors)
+    if "anc" not in kinds:
+        return visits.withColumn("copies", F.lit(1).cast("bigint"))
+    met = F.when(F.col("kind") == "anc", F.col("abortions"))
+    return visits.join(abortion_rows(run), "person_id", "left").withColumn(
+        "copies", F.coalesce(met, F.lit(1))
+    ).drop("abortions")
 
 
 def numbered_visits(run: Run, kind: str) -> DataFrame:
@@ -128,117 +199,111 @@ def numbered_visits(run: Run, kind: str) -> DataFrame:
 
     An antenatal visit that meets several abortion rows has a range of numbers.
     """
-    visits = worker_visits(run, [kind])
-    numbered = number_rows(visits, ["worker_id", "visitor_id"], visit_order(), "visit_number")
+    visits = repeated_visits(run, [kind])
     if kind != "anc":
-        return numbered
-    last = F.col("visit_number") * F.col("copies")
-    return (
-        _with_copies(run, numbered)
-        .withColumn("first_visit_number", last - F.col("copies") + 1)
-        .withColumn("last_visit_number", last)
-        .drop("visit_number")
-    )
+        return number_rows(visits, VISITOR, BY_TIME, "visit_number")
+    numbered = number_rows(visits, VISITOR, BY_TIME, "last_visit_number", "copies")
+    first = F.col("last_visit_number") - F.col("copies") + 1
+    return numbered.withColumn("first_visit_number", first)
+
+
+def _first_visits(
+    run: Run, kinds: list[str], k: int, visitors: KeyFilter | None = None
+) -> DataFrame:
+    """Each visitor's visits with a number up to ``k``, the last of its numbers being ``last``."""
+    keys = [*VISITOR, "kind"]
+    visits = first_k(repeated_visits(run, kinds, visitors), keys, BY_TIME.order(), k)
+    return visits.withColumn("last", running_copies(keys, BY_TIME.order(), "copies"))
+
+
+def _has_number(n: int) -> str:
+    return f"(last - copies < {n} and last >= {n})"
 
 
 def nth_visit(run: Run, kind: str, n: int, in_period: bool) -> DataFrame:
-    """Each person's nth visit of a kind: person, day and the kind's own columns."""
-    visits = first_k(
-        worker_visits(run, [kind]), ["worker_id", "visitor_id"], visit_order(), n
-    )
-    if kind == "anc":
-        visits = _with_copies(run, visits).where(F.col("nth") == F.expr(_encounter_of(n)))
-    else:
-        visits = visits.where(F.col("nth") == n)
-    visits = visits.withColumn("day", F.to_date("at"))
+    """The nth visits of a kind: person, day and the kind's own columns.
+
+    A person has several if encounters of several persons belong to its enrolments.
+    """
+    visits = _first_visits(run, [kind], n).where(_has_number(n)).withColumn("day", F.to_date("at"))
     if in_period:
         visits = visits.where(run.on_days("day"))
     return visits.select("worker_id", "person_id", "day", "note", "mode")
 
 
-def _pivoted(run: Run, kinds: list[str]) -> DataFrame:
-    """One row per worker and person with the days of its first visits.
+def _paired_days(run: Run, cells: list[str]) -> DataFrame:
+    """One row per worker and person: ``days``, the different days of its cells.
 
-    Every kind is scanned once, whatever the number of rules that read it.
+    Every kind is scanned once, whatever the number of rules that read it. Each visit says
+    which cells it is of (bit i for the i-th), and equal days are joined before the shuffle:
+    ``days`` grows with the calendar, not with the visits or the visitors.
     """
-    visits = worker_visits(run, kinds)
-    numbered = first_k(
-        visits,
-        ["worker_id", "visitor_id", "kind"],
-        visit_order(),
-        max(LAST_VISIT[kind] for kind in kinds),
-    )
-
-    def pick(kind: str, n: int, value: str, name: str) -> Column:
-        here = f"kind = '{kind}' and nth = {n}"
-        return F.expr(f"max(case when {here} then {value} end) as {kind}_{name}_{n}")
+    kinds = sorted({CELLS[cell][0] for cell in cells})
+    visitors = _active_visitors(run, kinds) if _many_visits(run, kinds) else None
+    numbered = _first_visits(run, kinds, max(LAST_VISIT[kind] for kind in kinds), visitors)
 
-    picks = []
-    for kind in kinds:
-        picks += [pick(kind, n, "cast(at as date)", "day") for n in PIVOTED[kind]]
-        for flag, (numbers, test) in FLAGS[kind].items():
-            picks += [pick(kind, n, test, flag) for n in numbers]
-    wide = numbered.groupBy("worker_id", "person_id").agg(*picks)
+    def bit(i: int, cell: str) -> str:
+        kind, n, test = CELLS[cell]
+        return f"if(kind = '{kind}' and {_has_number(n)} and {test}, {1 << i}, 0)"
 
-    completing = " or ".join(
-        on_days_sql(f"{kind}_day_{n}", run.params) for kind in kinds for n in COMPLETING[kind]
+    held = F.expr(" | ".join(bit(i, cell) for i, cell in enumerate(cells)))
+    return (
+        numbered.select(*VISITOR[:1], "person_id", F.to_date("at").alias("day"), held.alias("cells"))
+        .where("cells <> 0 and day is not null")
+        .groupBy("worker_id", "person_id")
+        .agg(F.collect_set(F.struct("day", "cells")).alias("days"))
     )
-    wide = wide.where(completing)
-    return _with_copies(run, wide) if "anc" in kinds else wide
 
 
 def nth_visit_claims(run: Run, rules: set[str]) -> DataFrame | None:
-    """Claim tuples of the rules that pair one visit with an earlier one."""
-    kinds_of = {
-        "r01": {"anc"},
-        "r02": {"anc"},
-        "r06": {"anc"},
-        "r18": {"hbnc"},
-        "r19": {"hbnc"},
-        "r20": {"hbnc"},
-        "r21": {"hbyc", "hbnc"},
-    }
-    wanted = [rule for rule in kinds_of if rule in rules]
+    """Claim tuples of the rules that pair one visit with an earlier one.
+
+    A person's days of one cell meet those of the other: all of them, as several encounter
+    persons can each have an nth visit that belongs to the person.
+    """
+    wanted = [rule for rule in PAIRINGS if rule in rules]
     if not wanted:
         return None
-    kinds = sorted(set().union(*(kinds_of[rule] for rule in wanted)))
-
-    def anc(n: int, name: str = "day") -> str:
-        numbers = PIVOTED["anc"] if name == "day" else FLAGS["anc"][name][0]
-        values = ", ".join(f"anc_{name}_{i}" for i in numbers)
-        return f"get(array({values}), {_encounter_of(n)} - 1)"
-
-    def dated(name: str) -> str:
-        return f"case when {on_days_sql(name, run.params)} then {name} end"
-
-    # Completion day, registration day and what else has to hold.
-    claims = {
-        "r01": (anc(4), anc(1), "true"),
-        "r02": (anc(4), anc(2), anc(2, "tablets")),
-        "r06": (anc(8), anc(1), "true"),
-        "r18": ("hbnc_day_6", dated("hbnc_day_2"), "hbnc_normal_6"),
-        "r19": ("hbnc_day_6", dated("hbnc_day_3"), "hbnc_section_6"),
-        "r20": ("hbnc_day_7", dated("hbnc_day_1"), "hbnc_outside_7"),
-        "r21": ("hbyc_day_5", dated("hbnc_day_1"), "true"),
-    }
-
-    def claim(rule: str) -> tuple[Column, Column]:
-        done, registered, test = claims[rule]
-        earned = F.expr(f"{on_days_sql(done, run.params)} and {test}")
-        return earned, F.expr(
-            f"named_struct('rule', '{rule}', 'done', {done}, 'registered', {registered})"
+    cells = [
+        cell
+        for cell in CELLS
+        if any(cell in (PAIRINGS[rule].done, PAIRINGS[rule].registered) for rule in wanted)
+    ]
+
+    def days_of(cell: str, dated: bool) -> Column:
+        def belongs(d: Column) -> Column:
+            here = d["cells"].bitwiseAND(F.lit(1 << cells.index(cell))) != 0
+            if dated:
+                here = here & d["day"].between(F.lit(run.params.from_date), F.lit(run.params.to_date))
+            return here
+
+        found = F.filter("days", belongs)
+        return F.array_distinct(F.transform(found, lambda d: d["day"].cast("string")))
+
+    def claims(rule: str) -> Column:
+        pairing = PAIRINGS[rule]
+        registered = days_of(pairing.registered, pairing.dated)
+        if not pairing.needed:
+            nothing = F.array(F.lit(None).cast("string"))
+            registered = F.when(F.size(registered) == 0, nothing).otherwise(registered)
+        return F.flatten(
+            F.transform(
+                days_of(pairing.done, True),
+                lambda done: F.transform(
+                    registered,
+                    lambda first: F.struct(
+                        F.lit(rule).alias("rule"),
+                        done.alias("completion"),
+                        first.alias("registration"),
+                    ),
+                ),
+            )
         )
 
     return (
-        _pivoted(run, kinds)
-        .select("worker_id", "person_id", variants(*(claim(rule) for rule in wanted)).alias("c"))
-        .select(
-            "worker_id",
-            F.col("c.rule").alias("rule"),
-            "person_id",
-            day_text("c.done").alias("completion"),
-            day_text("c.registered").alias("registration"),
-        )
+        _paired_days(run, cells)
+        .select("worker_id", "person_id", F.explode(F.concat(*map(claims, wanted))).alias("c"))
+        .select("worker_id", "c.rule", "person_id", "c.completion", "c.registration")
     )
 
 
@@ -262,9 +327,11 @@ def _doses(run: Run, rows: DataFrame, *choices: tuple[str, Column]) -> DataFrame
     )
 
 
-def first_td_doses(run: Run) -> DataFrame:
+def first_td_doses(run: Run, enrolments: KeyFilter | None = None) -> DataFrame:
     """Each distinct first-dose day of a person, whenever it was."""
     rows = _encounters(run, "anc").where(F.col("td1").isNotNull())
+    if enrolments is not None:
+        rows = rows.where(enrolments.may_hold("program_enrolment_id"))
     return _doses(run, rows, ("first", F.col("td1").cast("date")))
 
 
@@ -291,7 +358,14 @@ def td_claims(run: Run, rules: set[str]) -> DataFrame | None:
     doses = period_td_doses(run, second, booster)
     registered = F.col("day")
     if second:
-        firsts = first_td_doses(run).select(
+        enrolments = None
+        if _many_visits(run, ["anc"]):
+            dosed = _encounters(run, "anc").where(
+                run.on_days("encounter_date_time") & F.col("td2").isNotNull()
+            )
+            dosed = dosed.select(F.col("program_enrolment_id").alias("enrolment_id"))
+            enrolments = KeyFilter(_enrolments_of_active(run, ["anc"], dosed), "enrolment_id")
+        firsts = first_td_doses(run, enrolments).select(
             "worker_id",
             "person_id",
             F.lit("second").alias("dose"),

@@ -1,4 +1,4 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings and the shared folder."""
 
 from __future__ import annotations
 
@@ -41,18 +41,18 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make sure reliable checkpoints have a folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``. Only a local session without that
+    setting gets a temporary folder.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="claimwright-checkpoint-")
-    context.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="claimwright-shared-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()

@@ -69,7 +69,7 @@ from orders
     "fx_anc": """
 select id,
        individual_id,
-       1000000 + individual_id as program_enrolment_id,
+       1000000 + individual_id - case when id % 4 = 1 then 10 else 0 end as program_enrolment_id,
        encounter_date_time,
        created_by_id,
        last_modified_by_id,
@@ -84,7 +84,7 @@ from fx_encounter
     "fx_hbnc": """
 select id,
        individual_id,
-       2000000 + individual_id as program_enrolment_id,
+       2000000 + individual_id - case when id % 4 = 1 then 10 else 0 end as program_enrolment_id,
        encounter_date_time,
        created_by_id,
        last_modified_by_id,
@@ -96,7 +96,7 @@ from fx_encounter
     "fx_hbyc": """
 select id,
        individual_id,
-       2000000 + individual_id as program_enrolment_id,
+       2000000 + individual_id - case when id % 4 = 1 then 10 else 0 end as program_enrolment_id,
        encounter_date_time,
        created_by_id,
        last_modified_by_id,

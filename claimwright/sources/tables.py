@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,14 +157,58 @@ def stored_schema(table: str) -> T.StructType:
 
 
 def read_tables(spark: SparkSession, directory: str) -> Tables:
-    """The stored tables, one parquet folder each, under their fixed schemas."""
+    """The stored tables, one parquet folder each, with the columns of SCHEMAS.
+
+    The stored type of each column is read from the footers. A question whose answer is a
+    date in some forms and a time in others keeps its time: rules that compare the answer
+    as it is then lose the last day after midnight, rules that compare its day do not, and
+    both print what the forms hold. Other columns come in their declared types; a question
+    that the stored table does not have yet is null.
+    """
 
     def read(table: str) -> DataFrame:
-        schema = stored_schema(table)
-        stored = spark.read.schema(schema).parquet(f"{directory}/{STORED_TABLES.get(table, table)}")
+        stored = spark.read.parquet(f"{directory}/{STORED_TABLES.get(table, table)}")
         names = T.StructType.fromDDL(SCHEMAS[table]).fieldNames()
+        found = {field.name: field.dataType for field in stored.schema}
         return stored.select(
-            *(F.col(f"`{field.name}`").alias(name) for field, name in zip(schema, names))
+            *(
+                _declared(field, found.get(field.name)).alias(name)
+                for field, name in zip(stored_schema(table), names)
+            )
         )
 
     return Tables(read)
+
+
+def _declared(field: T.StructField, found: T.DataType | None) -> Column:
+    if found is None:
+        return F.lit(None).cast(field.dataType)
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DateType) and isinstance(
+        found, (T.TimestampType, T.TimestampNTZType)
+    ):
+        return column.cast("timestamp")
+    return column if found == field.dataType else column.cast(field.dataType)
+
+
+def write_tables(
+    tables: Tables, directory: str, times: dict[str, dict[str, Column]] | None = None
+) -> None:
+    """Write base tables in the stored layout, which ``read_tables`` reads.
+
+    ``times`` gives, by table and column, a time to store instead of a declared date.
+    Columns that a table does not have are stored as nulls.
+    """
+    for table, ddl in SCHEMAS.items():
+        frame = tables[table]
+        timed = (times or {}).get(table, {})
+        columns = []
+        for field, stored in zip(T.StructType.fromDDL(ddl), stored_schema(table)):
+            if field.name in timed:
+                value = timed[field.name].cast("timestamp")
+            elif field.name in frame.columns:
+                value = F.col(field.name).cast(field.dataType)
+            else:
+                value = F.lit(None).cast(field.dataType)
+            columns.append(value.alias(stored.name))
+        frame.select(*columns).write.parquet(f"{directory}/{STORED_TABLES.get(table, table)}")

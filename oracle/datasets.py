@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.sql import Oracle
 
 VISIT_NUMBERS = (
     "count(*) as copies, min(visit_number) as first_visit_number, max(visit_number) as last_visit_number"
 )
 
+PLANNED = [
+    "date_of_delivery",
+    "delivery_encounter",
+    "date_of_sterilisation",
+    "date_of_copper_t",
+    "followup_encounter",
+    "planning_enrolment",
+]
+
 NTH = {
     "d07_first_anc": ("anc", 1, False, ""),
     "d08_second_anc": ("anc", 2, False, ", ifa_180"),
@@ -26,14 +37,33 @@ NTH = {
 }
 
 
+# Datasets that belong to a worker: over all workers they say whose each row is.
+OF_WORKERS = [
+    "d02_activity",
+    "d04_hbnc_visits",
+    "d05_hbyc_visits",
+    "d06_anc_visits",
+    "d06_anc_abortions",
+    *NTH,
+    "d22_primary_series",
+    "d23_booster_series",
+    "d25_pmsma_visits",
+    "d26_first_td",
+    "d27_second_td",
+    "d28_td_booster",
+]
+
+
 def dataset_sql(key: str, o: Oracle) -> str:
     if key in NTH:
         kind, n, in_period, columns = NTH[key]
-        return o.statement(
-            f"""select person_id, cast(day as varchar) as visit_date {columns}
-                from {o.nth(kind, n, in_period, columns)}"""
-        )
-    return o.statement(_selects(o)[key])
+        select = f"""select person_id, cast(day as varchar) as visit_date {columns}
+            from {o.nth(kind, n, in_period, columns)}"""
+    else:
+        select = _selects(o)[key]
+    if key in OF_WORKERS and not o.one_worker:
+        select = re.sub(r"^\s*select (distinct )?", r"select \1worker, ", select)
+    return o.statement(select)
 
 
 def _selects(o: Oracle) -> dict[str, str]:
@@ -66,18 +96,18 @@ def _selects(o: Oracle) -> dict[str, str]:
                 ("d23_booster_series", "booster_series"),
             )
         },
-        "d24_fp_delivery": """
-            select person_id, 'delivery' as leg,
-                   cast(any_value(date_of_delivery) as varchar) as date_of_delivery,
-                   cast(any_value(delivery_encounter) as varchar) as delivery_encounter,
-                   null as date_of_sterilisation, null as date_of_copper_t, null as followup_encounter,
+        "d24_fp_delivery": "\nunion all\n".join(
+            f"""select person_id, any_value(created_by_id) as created_by_id,
+                   any_value(last_modified_by_id) as last_modified_by_id, '{leg}' as leg,
+                   {', '.join(f"cast({f'any_value({c})' if c in own else 'null'} as varchar) as {c}" for c in PLANNED)},
                    count(*) as copies
-            from fp group by worker, person_id, delivery_id
-            union all
-            select person_id, 'followup', null, null, cast(any_value(date_of_sterilisation) as varchar),
-                   cast(any_value(date_of_copper_t) as varchar),
-                   cast(any_value(followup_encounter) as varchar), count(*)
-            from fp group by worker, person_id, followup_id""",
+            from planned group by person_id, {leg}_id"""
+            for leg, own in (
+                ("delivery", PLANNED[:2]),
+                ("followup", PLANNED[2:5]),
+                ("planning", PLANNED[5:]),
+            )
+        ),
         "d25_pmsma_visits": f"""select distinct person_id, cast(day as varchar) as visit_date
             from anc_visits where pmsma = 'Yes' and day between {period}""",
         "d26_first_td": """select distinct person_id, cast(td1 as varchar) as dose_date

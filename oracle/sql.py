@@ -10,17 +10,31 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from claimwright.params import ReportParams
-from claimwright.plans.report import FORM_COLUMNS, INTRO_CENTRE, INTRO_MONTH, INTRO_NAME, MONTHLY_RATES
-from claimwright.plans.rules import RULES, Scope
 from claimwright.sources.star import VIEWS
-from claimwright.functions.texts import MONTHS_HI
+from oracle.terms import (
+    FORM,
+    INTRO_CENTRE,
+    INTRO_MONTH,
+    INTRO_NAME,
+    MONTH_NAMES,
+    MONTHLY,
+    TERMS,
+    UNSCOPED,
+)
+
+# Rules that print an answer as the form holds it, whether a date or a time.
+AS_HELD = ("r08", "r09", "r25")
 
 
 @dataclass(frozen=True)
 class Oracle:
-    """SQL under one set of parameters; without a username it covers all workers."""
+    """SQL under one set of parameters; without a username it covers all workers.
+
+    ``views`` are further views, after the derived ones, or in their place.
+    """
 
     params: ReportParams
+    views: tuple[tuple[str, str], ...] = ()
 
     @property
     def period(self) -> str:
@@ -36,7 +50,7 @@ class Oracle:
 
     def statement(self, select: str) -> str:
         """A whole statement: the derived views, the datasets and ``select``."""
-        ctes = {**VIEWS, **self.datasets()}
+        ctes = {**VIEWS, **dict(self.views), **self.datasets()}
         body = ",\n".join(f"{name} as ({sql.strip()})" for name, sql in ctes.items())
         return f"with {body}\n{select.strip()}"
 
@@ -66,6 +80,20 @@ class Oracle:
                 join fx_fp_followup f on f.individual_id = i.id
                 where not i.is_voided and e.program_exit_date_time is null
                   and p.program_exit_date_time is null and d.cancel_date_time is null""",
+            "planned": """
+                select i.id as person_id, i.created_by_id, i.last_modified_by_id,
+                       d.id as delivery_id, f.id as followup_id, e.id as planning_id,
+                       d.date_of_delivery, d.encounter_date_time as delivery_encounter,
+                       f.date_of_sterilisation, f.date_of_copper_t,
+                       f.encounter_date_time as followup_encounter,
+                       e.enrolment_date_time as planning_enrolment
+                from fx_individual i
+                join fx_family_planning e on e.individual_id = i.id
+                join fx_pregnancy p on p.individual_id = i.id
+                join fx_delivery d on d.individual_id = i.id
+                join fx_fp_followup f on f.individual_id = i.id
+                where not i.is_voided and e.program_exit_date_time is null
+                  and p.program_exit_date_time is null and d.cancel_date_time is null""",
             "tb": """
                 select i.id as person_id, i.created_by_id, i.last_modified_by_id,
                        f.id as followup_id, f.tb_status, f.tb_status_date, f.type_of_tb,
@@ -167,7 +195,8 @@ class Oracle:
                 select worker, person_id, td_booster as c, td_booster as r from anc_visits
                 where td_booster is not null and day between {period}""",
             "r05": f"""
-                select null as worker, id as person_id, date_of_death as c, date_of_death as r
+                select null as worker, id as person_id, cast(date_of_death as date) as c,
+                       cast(date_of_death as date) as r
                 from fx_individual where date_of_death between {period}""",
             "r06": pair_of(self.nth("anc", 8), self.nth("anc", 1, False)),
             "r07": f"""
@@ -181,7 +210,7 @@ class Oracle:
                 select null as worker, id as person_id, date_of_sterilization as c,
                        date_of_sterilization as r
                 from fx_individual where gender = '{gender}'
-                  and date_of_sterilization between {period}"""
+                  and cast(date_of_sterilization as date) between {period}"""
                 for rule, gender in (("r08", "Female"), ("r09", "Male"))
             },
             "r10": f"""
@@ -277,21 +306,21 @@ class Oracle:
 
     def rule_lines(self, rule: str) -> str:
         """Claim lines of a rule with the worker and the rule's name."""
-        terms = RULES[rule]
-        day = "cast(cast({0} as date) as varchar)"
+        code, rate = TERMS[rule]
+        day = "cast({0} as varchar)" if rule in AS_HELD else "cast(cast({0} as date) as varchar)"
         if rule == "r28":
             done, keys = day.format("max(latest)"), "worker, r"
         else:
             done, keys = day.format("c"), "worker, c, r"
         return f"""
-            select worker, '{rule}' as rule, '{terms.code}' as code, {terms.rate} as rate,
+            select worker, '{rule}' as rule, '{code}' as code, {rate} as rate,
                    count(distinct person_id) as beneficiary_count,
-                   cast(count(distinct person_id) * {terms.rate} as varchar) as total_claim_amount,
+                   cast(count(distinct person_id) * {rate} as varchar) as total_claim_amount,
                    {done} as work_completion_date, {day.format("r")} as date_of_registration
             from ({self.tuples(rule)}) group by {keys}"""
 
     def all_lines(self) -> str:
-        return "\nunion all\n".join(self.rule_lines(rule) for rule in RULES)
+        return "\nunion all\n".join(self.rule_lines(rule) for rule in TERMS)
 
     def claims(self, rules: list[str]) -> str:
         lines = "\nunion all\n".join(self.rule_lines(rule) for rule in rules)
@@ -299,7 +328,7 @@ class Oracle:
         return self.statement(f"select * exclude ({drop}) from ({lines})")
 
     def form(self, headings: bool = False) -> str:
-        unscoped = ", ".join(f"'{r}'" for r, terms in RULES.items() if terms.scope is Scope.UNSCOPED)
+        unscoped = ", ".join(f"'{rule}'" for rule in UNSCOPED)
         numbered = f"""
             select *, row_number() over (partition by forms.worker
                 order by rule not in ({unscoped}), rule, work_completion_date nulls last,
@@ -314,10 +343,10 @@ class Oracle:
                 from ({numbered})"""
         known = "s_no code rate beneficiary_count total_claim_amount work_completion_date date_of_registration".split()
         cells = ", ".join(
-            f"coalesce(cast({name} as varchar), '') as \"{FORM_COLUMNS[name] if headings else name}\""
+            f"coalesce(cast({name} as varchar), '') as \"{FORM[name] if headings else name}\""
             if name in known
-            else f"'' as \"{FORM_COLUMNS[name] if headings else name}\""
-            for name in FORM_COLUMNS
+            else f"'' as \"{FORM[name] if headings else name}\""
+            for name in FORM
         )
         worker = "" if self.one_worker else "worker, "
         return self.statement(f"select {worker}{cells} from ({numbered})")
@@ -331,14 +360,14 @@ class Oracle:
         )
 
     def monthly_rates(self) -> str:
-        rows = ", ".join(f"('{code}', {rate})" for code, rate in MONTHLY_RATES.items())
+        rows = ", ".join(f"('{code}', {rate})" for code, rate in MONTHLY.items())
         return self.statement(
             f"""select me.worker, s.code, s.rate, s.rate || '/-रूपये प्रतिमाह' as label, '' as tick
                 from me, (values {rows}) s(code, rate)"""
         )
 
     def headers(self) -> str:
-        months = ", ".join(f"'{name}'" for name in MONTHS_HI)
+        months = ", ".join(f"'{name}'" for name in MONTH_NAMES)
         month = f"list_value({months})[month({self.today})] || ' ' || year({self.today})"
         return self.statement(
             f"""select worker, worker as worker_name, {month} as month_year,

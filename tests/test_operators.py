@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from claimwright.operators.numbering import first_k, number_rows
+from claimwright.operators.key_filter import KeyFilter
+from claimwright.operators.lookups import remove_stored, stored
+from claimwright.operators.numbering import ByTime, first_k, number_rows
 from claimwright.operators.scope import WorkerScope
 from claimwright.operators.sizing import fits
 from tests.tables import make_tables, person
@@ -25,24 +27,59 @@ def hot(spark):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-def test_numbering_of_a_hot_group_equals_a_plain_window(spark, hot, descending):
-    at, id_ = F.col("at"), F.col("id")
-    order = [at.desc_nulls_first(), id_.desc()] if descending else [at.asc_nulls_last(), id_.asc()]
-    got = number_rows(hot, ["person"], order, "nth")
-    want = hot.withColumn("nth", F.row_number().over(Window.partitionBy("person").orderBy(*order)))
+@pytest.mark.parametrize("id_bits", [20, 4])
+def test_numbering_of_a_hot_group_equals_a_plain_window(spark, hot, descending, id_bits, monkeypatch):
+    monkeypatch.setattr("claimwright.operators.numbering.RUN_ID_BITS", id_bits)
+    by = ByTime("at", "id", descending)
+    got = number_rows(hot, ["person"], by, "nth")
+    window = Window.partitionBy("person").orderBy(*by.order())
+    want = hot.withColumn("nth", F.row_number().over(window))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_numbering_splits_the_hot_group(spark, hot):
-    order = [F.col("at").asc_nulls_last(), F.col("id").asc()]
-    parts = hot.repartitionByRange(F.col("person"), *order).select(
-        "person", F.spark_partition_id().alias("part")
-    )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        assert parts.where("person = 1").select("part").distinct().count() > 1
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+def test_numbering_with_copies_equals_numbering_the_copies(spark, hot):
+    rows = hot.withColumn("copies", F.col("id") % 4 + 1)
+    got = number_rows(rows, ["person"], ByTime("at", "id"), "last", "copies").select("id", "last")
+    made = rows.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    window = Window.partitionBy("person").orderBy(F.col("at").asc_nulls_last(), "id", "copy")
+    want = made.withColumn("nth", F.row_number().over(window)).groupBy("id").agg(F.max("nth"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_numbering_sorts_no_more_than_a_run_together_and_starts_no_job(spark, hot, monkeypatch):
+    monkeypatch.setattr("claimwright.operators.numbering.RUN_ID_BITS", 6)
+    spark.sparkContext.setJobGroup("numbering", "building")
+    numbered = number_rows(hot, ["person"], ByTime("at", "id"), "nth")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("numbering")
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "its_run" in plan[plan.index("Exchange hashpartitioning") :]
+    # The hot group's 3,000 rows of one instant fall into runs of 64 ids.
+    runs = hot.where("person = 1").groupBy("at", F.shiftright("id", 6)).count()
+    assert runs.agg(F.max("count")).first()[0] <= 64
+
+
+def test_key_filter_passes_its_keys_and_few_others(spark):
+    keys = spark.range(0, 3000, 3).withColumn("id", F.when(F.col("id") > 0, F.col("id")))
+    rows = spark.range(3000).select(F.when(F.col("id") != 7, F.col("id")).alias("k"))
+    kept = {r.k for r in rows.where(KeyFilter(keys, "id").may_hold("k")).collect()}
+    assert kept >= set(range(3, 3000, 3)) and None not in kept and len(kept) < 1100
+    nobody = KeyFilter(keys.where("id < 0"), "id")
+    assert rows.where(nobody.may_hold("k")).count() == 0
+
+
+def test_lookups_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    kept = stored(spark.range(10).mapInPandas(count, "id long"), "test")
+    assert kept.rows == 10 and kept.joinable(9) is kept.frame
+    assert "broadcast" in kept.joinable(10)._jdf.queryExecution().toString().lower()
+    assert kept.frame.count() == 10 and made.value == 10
+    remove_stored(spark)
 
 
 def test_first_k_limits_groups_before_the_shuffle(hot):
@@ -86,13 +123,8 @@ def or_join(tables, on):
     return rows.groupBy("username", "id").count()
 
 
-@pytest.fixture(params=[1000, 0], ids=["ids pushed", "ids joined"])
-def accounts(request, monkeypatch):
-    monkeypatch.setattr("claimwright.operators.scope.MAX_ACCOUNTS", request.param)
-
-
 @pytest.mark.parametrize("username", [None, "anu", "bina", "nobody"])
-def test_either_scope_equals_the_or_join_with_shared_usernames(spark, accounts, username):
+def test_either_scope_equals_the_or_join_with_shared_usernames(spark, username):
     tables = people(spark)
     scope = WorkerScope(tables["users"], username)
     rows = scope.created_or_modified(tables["individual"]).select("id", F.explode("workers").alias("w"))
@@ -104,7 +136,7 @@ def test_either_scope_equals_the_or_join_with_shared_usernames(spark, accounts,
 
 
 @pytest.mark.parametrize("username", [None, "anu", "bina", "nobody"])
-def test_both_scope_compares_usernames(spark, accounts, username):
+def test_both_scope_compares_usernames(spark, username):
     tables = people(spark)
     scope = WorkerScope(tables["users"], username)
     got = scope.named(scope.created_and_modified(tables["individual"])).select("worker", "id")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from claimwright.plans import report, visits
+from claimwright.plans.catalog import DATASETS
 from claimwright.plans.rules import LINE_COLUMNS, RULES
 from claimwright.plans.run import Run
 from claimwright.sources.star import star_tables
@@ -95,12 +96,43 @@ def test_report_by_name(tables):
         report.run_report("payments", tables, params)
 
 
-def test_forms_are_written_per_worker(spark, tables, tmp_path):
-    form = report.with_headings(report.claim_form(Run(tables, WIDE)))
-    report.write_forms(form, str(tmp_path / "forms"))
-    back = spark.read.parquet(str(tmp_path / "forms"))
-    assert back.count() == form.count()
-    assert set(report.FORM_COLUMNS.values()) <= set(back.columns)
+@pytest.mark.parametrize("folders", [1, 64])
+def test_a_form_out_of_a_batch_is_that_of_a_single_run(spark, tables, tmp_path, folders):
+    folder = str(tmp_path / "forms")
+    report.write_forms(report.claim_form(Run(tables, WIDE)), folder, folders)
+    for worker in [*WORKERS, "nobody"]:
+        found = report.claim_form_of(spark, folder, worker, folders).collect()
+        single = report.claim_form(Run(tables, replace(WIDE, username=worker))).collect()
+        assert sorted(found) == sorted(single)
+        assert [int(row.s_no) for row in found] == list(range(1, len(found) + 1))
+
+
+def jobs_of(spark, name, build) -> int:
+    spark.sparkContext.setJobGroup(name, name)
+    build()
+    found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    spark.sparkContext.setJobGroup("", "")
+    return found
+
+
+@pytest.mark.parametrize("key", ["d04_hbnc_visits", "d06_anc_visits", "d29_tb_followups", "d32_tb_latest"])
+def test_building_a_numbered_dataset_starts_no_job(spark, tables, key):
+    run = Run(tables, replace(WIDE, username=WORKERS[0]))
+    run.scope.workers, run.scope._aliases  # the worker lookup
+    assert jobs_of(spark, key, lambda: DATASETS[key](run)) == 0
+
+
+def test_building_the_form_of_all_workers_only_makes_lookups(spark, tables):
+    run = Run(tables, WIDE)
+    report.claims(run)  # the users' aliases and the vaccine details
+    assert jobs_of(spark, "form", lambda: report.claim_form(run)) == 0
+
+
+def test_latest_visits_are_found_by_hashing(tables):
+    run = Run(tables, WIDE)
+    for df in (report.claims(run, ["r28", "r29", "r30"]), DATASETS["d32_tb_latest"](run)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
 def test_every_rule_has_lines_in_the_wide_period(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 from claimwright.params import ReportParams
@@ -48,6 +49,105 @@ def test_a_visit_pays_for_the_person_of_its_enrolment(spark):
     assert lines(run, "r01") == []
 
 
+def two_visitors(first, second, **columns):
+    """Visits of two encounter persons in one enrolment, by their days."""
+    return [visit(n, 200, at, **columns) for n, at in enumerate(first)] + [
+        visit(100 + n, 300, at, **columns) for n, at in enumerate(second)
+    ]
+
+
+def test_nth_visits_of_several_encounter_persons_are_crossed(spark):
+    anc = two_visitors(
+        [jan(1), jan(2), jan(4), jan(10)], [jan(3), jan(5), jan(6), jan(12)], ifa_180="Yes"
+    )
+    rows = {"individual": [person(100)], "pregnancy": [PREGNANCY], "anc": anc}
+    run = run_of(spark, **rows)
+    assert lines(run, "r01") == [
+        (1, "2024-01-10", "2024-01-01"),
+        (1, "2024-01-10", "2024-01-03"),
+        (1, "2024-01-12", "2024-01-01"),
+        (1, "2024-01-12", "2024-01-03"),
+    ]
+    assert lines(run, "r02") == [
+        (1, "2024-01-10", "2024-01-02"),
+        (1, "2024-01-10", "2024-01-05"),
+        (1, "2024-01-12", "2024-01-02"),
+        (1, "2024-01-12", "2024-01-05"),
+    ]
+    # Equal days are one, for the person is counted once.
+    same = two_visitors([jan(n) for n in (1, 2, 4, 10)], [jan(n) for n in (1, 3, 5, 10)])
+    assert lines(run_of(spark, **{**rows, "anc": same}), "r01") == [(1, "2024-01-10", "2024-01-01")]
+    assert [r.visit_date for r in DATASETS["d09_fourth_anc"](run).orderBy("visit_date").collect()] == [
+        date(2024, 1, 10), date(2024, 1, 12),
+    ]
+
+
+def test_newborn_visits_of_several_encounter_persons_are_crossed(spark):
+    hbnc = two_visitors(
+        [jan(n) for n in range(1, 7)],
+        [jan(n) for n in range(11, 17)],
+        place_of_delivery="Hospital",
+        delivery_type="Normal",
+    )
+    run = run_of(spark, individual=[person(100)], child=[CHILD], hbnc=hbnc)
+    assert lines(run, "r18") == [
+        (1, done, first)
+        for done in ("2024-01-06", "2024-01-16")
+        for first in ("2024-01-02", "2024-01-12")
+    ]
+
+
+def test_one_encounter_person_in_enrolments_with_uneven_abortions(spark):
+    # Person 100 had two abortions, person 101 none: the visits count 2, 1, 2, 1 rows.
+    anc = [visit(n, 200, jan(n), enrolment=10 + (n + 1) % 2) for n in (1, 2, 3, 4)]
+    run = run_of(
+        spark,
+        individual=[person(100), person(101)],
+        pregnancy=[PREGNANCY, {"id": 11, "individual_id": 101, "is_voided": False}],
+        anc=anc,
+        abortion=[{"id": 1, "individual_id": 100}, {"id": 2, "individual_id": 100}],
+    )
+    numbered = visits.numbered_visits(run, "anc").orderBy("at").collect()
+    assert [(r.first_visit_number, r.last_visit_number) for r in numbered] == [
+        (1, 2), (3, 3), (4, 5), (6, 6),
+    ]
+    # The fourth row is the second visit of person 100, whose first row is its first visit.
+    assert lines(run, "r01") == [(1, "2024-01-03", "2024-01-01")]
+
+
+def test_planning_join_is_counted_whoever_the_people_are(spark):
+    run = run_of(
+        spark,
+        individual=[person(100, worker=2), person(101, is_voided=True)],
+        family_planning=[
+            {"id": n, "individual_id": 100 + n % 2, "enrolment_date_time": jan(n + 1)} for n in range(4)
+        ]
+        + [{"id": 9, "individual_id": 100, "program_exit_date_time": jan(1)}],
+        pregnancy=[{"id": n, "individual_id": 100 + n % 2} for n in range(6)],
+        delivery=[{"id": n, "individual_id": 100 + n % 2, "date_of_delivery": date(2024, 1, 2)} for n in range(3)],
+        fp_followup=[{"id": n, "individual_id": 100, "date_of_copper_t": date(2024, 1, n)} for n in range(1, 6)],
+    )
+    t, key = run.tables, "individual_id"
+    plain = (
+        t["individual"].where("not is_voided").withColumnRenamed("id", key)
+        .join(t["family_planning"].where("program_exit_date_time is null"), key)
+        .join(t["pregnancy"].where("program_exit_date_time is null").select(key), key)
+        .join(t["delivery"].where("cancel_date_time is null").select(key, "date_of_delivery"), key)
+        .join(t["fp_followup"].select(key, "date_of_copper_t"), key)
+    )
+    legs = DATASETS["d24_fp_delivery"](run).collect()
+    for leg, column, source in (
+        ("delivery", "date_of_delivery", "date_of_delivery"),
+        ("followup", "date_of_copper_t", "date_of_copper_t"),
+        ("planning", "planning_enrolment", "enrolment_date_time"),
+    ):
+        got = Counter()
+        for row in legs:
+            if row.leg == leg:
+                got[row.person_id, row[column], row.created_by_id] += row.copies
+        assert got == Counter((r[key], r[source], 2) for r in plain.collect()), leg
+
+
 def test_two_abortions_number_each_visit_twice(spark):
     anc = [visit(n, 100, jan(n)) for n in (1, 2, 3, 4, 5)]
     run = run_of(
