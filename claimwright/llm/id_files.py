@@ -31,7 +31,6 @@ from claimwright.llm.storage import shared_folder, written
 
 MAGIC = b"CWIDS001"
 MAX_WORDS = 500_000
-MAX_PIECES = 250_000
 
 # White space of the tokenizer's patterns, a word's end, its special tokens.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -61,7 +60,6 @@ class WordEncoder:
         self._latin = re.compile("[\x00-\u024f]*").fullmatch
         self._split_latin = regex.compile(PIECES).findall
         self.known = Memo(self._alone, MAX_WORDS)
-        self.pieces = Memo(self._alone, MAX_PIECES)
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -70,18 +68,20 @@ class WordEncoder:
         return self._packed(self.library.encode(word, add_special_tokens=False).ids)
 
     def _learn(self, words: list[str]) -> None:
-        """Ids of many new words, from those of their pieces."""
-        split = [self._pieces_of(word) for word in words]
-        unknown = {
-            piece: None for pieces in split for piece in pieces if piece not in self.pieces
+        """Ids of many new words. A word of letters is one piece; others join those of theirs."""
+        joined = {word: self._split_latin(word) for word in words if not word.isalpha()}
+        known, old = self.known, self.known.old
+        fresh = dict.fromkeys([word for word in words if word not in joined])
+        for pieces in joined.values():
+            fresh.update(dict.fromkeys([p for p in pieces if p not in known and p not in old]))
+        listed = list(fresh)
+        found = dict(zip(listed, self._of_pieces(listed))) if listed else {}
+        # Before the new ones are kept, which may let old ones go.
+        made = {
+            word: b"".join([found[p] if p in found else known[p] for p in pieces])
+            for word, pieces in joined.items()
         }
-        fresh = [piece for piece in unknown if piece not in self.pieces.old]
-        found = dict(zip(fresh, self._of_pieces(fresh))) if fresh else {}
-        for word, pieces in zip(words, split):
-            ids = b"".join([found.get(p) or self.pieces[p] for p in pieces])
-            self.known.put(word, ids)
-        for piece, ids in found.items():
-            self.pieces.put(piece, ids)
+        known.put_all(found | made)
 
     def _of_pieces(self, pieces: list[str]) -> list[bytes]:
         """One call for many pieces: the ids of each end in a token that ends a word."""
@@ -95,10 +95,6 @@ class WordEncoder:
         packed, cuts = ids.tobytes(), [0, *(ends * size).tolist()]
         return [packed[x:y] for x, y in zip(cuts, cuts[1:])]
 
-    def _pieces_of(self, word: str) -> list[str]:
-        """What the tokenizer splits a word of Latin letters into."""
-        return [word] if word.isalpha() else self._split_latin(word)
-
     def _split(self, text: str) -> list[str]:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
@@ -107,22 +103,31 @@ class WordEncoder:
         return self._words(text) if self._odd.search(text) else text.split()
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        """The packed ids of every text."""
-        words = [None if self._special.search(t) else self._split(t) for t in texts]
-        fresh: dict[str, None] = {}
-        known, old = self.known, self.known.old
-        for row in words:
-            if row is not None:
-                fresh.update(dict.fromkeys([w for w in row if w not in known and w not in old]))
+        """The packed ids of every text. Each word that is known is looked up once."""
+        known, rows = self.known, []
+        unseen: dict[str, None] = {}
+        for text in texts:
+            if self._special.search(text):
+                rows.append(None)
+                continue
+            words = self._split(text)
+            packed = list(map(known.get, words))
+            missing = [word for word, ids in zip(words, packed) if ids is None]
+            unseen.update(dict.fromkeys(missing))
+            rows.append((words, packed, bool(missing)))
+        old = known.old
         # Other than Latin words go alone, so that they cannot unsettle the count of ends.
-        latin = [w for w in fresh if self._latin(w)]
+        latin = [word for word in unseen if word not in old and self._latin(word)]
         for k in range(0, len(latin), 4_000):
             self._learn(latin[k : k + 4_000])
-        for text, row in zip(texts, words):
+        for text, row in zip(texts, rows):
             if row is None:
                 yield self._alone(text)
-            else:
-                yield b"".join(map(known.__getitem__, row))
+                continue
+            words, packed, lacking = row
+            if lacking:
+                packed = [known[w] if ids is None else ids for w, ids in zip(words, packed)]
+            yield b"".join(packed)
 
 
 _WORKER: dict[bytes, WordEncoder] = {}
@@ -250,7 +255,7 @@ def write_id_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: st
 
     Returns the manifest, one row a shard: ``shard, path, first_id, last_id, docs, ids,
     base``, where ``base`` counts the ids of all shards before. Null texts are empty and
-    rows without an id come first; rows that share an id are ordered by their text. Every
+    rows without an id come first; rows that share an id are ordered by a hash of their text. Every
     document ends in ``end_id``.
 
     A file gets a name of its own in every attempt of a task, and only the names that a
@@ -284,10 +289,13 @@ def write_id_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: st
                 }
             )
 
+    # A document id with very many rows is dealt by text and, where these agree, by the row.
+    salt = F.xxhash64(F.monotonically_increasing_id())
     ordered = (
-        docs.select("doc_id", "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_id"), salt.alias("salt"))
+        .repartitionByRange("doc_id", "text_id", "salt")
+        .sortWithinPartitions("doc_id", "text_id", "salt")
+        .select("doc_id", "text")
     )
     manifest = written(
         ordered.mapInArrow(
@@ -327,7 +335,9 @@ def read_all(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = manifest.select("path", "base").repartition("path")
+    # With a number of their own, which adaptive execution does not merge into one task.
+    shards = max(1, manifest.count())
+    spread = manifest.select("path", "base").repartition(shards, "path")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -370,7 +380,7 @@ def read_documents(manifest: DataFrame, keys: DataFrame) -> DataFrame:
 
     asked = keys.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
     routed = asked.mapInArrow(route, "doc_id long, path string")
-    by_shard = routed.repartition("path").sortWithinPartitions("path", "doc_id")
+    by_shard = routed.repartition(max(1, len(paths)), "path").sortWithinPartitions("path", "doc_id")
     return by_shard.mapInArrow(read, "doc_id long, ids array<int>")
 
 

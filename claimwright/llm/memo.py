@@ -21,6 +21,13 @@ class Memo(dict):
         self.put(key, value)
         return value
 
+    def put_all(self, values: dict) -> None:
+        """Keep many computed values; more than the limit at once make a generation."""
+        if len(self) + len(values) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        self.update(values)
+
     def put(self, key, value) -> None:
         if len(self) >= self.limit:
             self.old = dict(self)
