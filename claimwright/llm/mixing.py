@@ -20,6 +20,8 @@ from claimwright.llm.storage import written
 SPACES = "[ \t\n\u000b\f\r]+"
 # Labelled documents that the classifier is fitted to.
 MAX_LABELLED = 8_000
+# The share of all tokens by which a domain may miss its target.
+TOLERANCE = 1e-4
 # Keeps steps finite where no rates reach the targets; far below the tolerance elsewhere.
 SLACK = 1e-12
 # Words' worth of evidence that one text can give; more words sharpen it no further.
@@ -122,7 +124,7 @@ def posteriors(docs: DataFrame, model: DataFrame, domains: list[str]) -> DataFra
 
 
 def fit_rates(
-    members: DataFrame, targets: Mapping[str, float], *, tolerance: float = 1e-4, rounds: int = 100
+    members: DataFrame, targets: Mapping[str, float], *, tolerance: float = TOLERANCE, rounds: int = 100
 ) -> DataFrame:
     """``members`` with ``rate``: expected domain tokens come to ``targets`` of all tokens.
 
@@ -212,8 +214,16 @@ def mixing_rates(
     listed = labels.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
     # At most MAX_LABELLED ids, drawn before any text is read.
     drawn = listed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    labelled = docs.select("doc_id", "text", domain).join(F.broadcast(drawn), "doc_id", "left_semi")
-    model = word_model(labelled, domain, domains)
+    # One text an id, the smallest, so that the sample is bounded in texts as well.
+    labelled = (
+        docs.where(F.col("text").isNotNull())
+        .select("doc_id", F.struct("text", F.col(domain).alias("domain")).alias("one"))
+        .join(F.broadcast(drawn), "doc_id", "left_semi")
+        .groupBy("doc_id")
+        .agg(F.min("one").alias("one"))
+        .select("doc_id", "one.text", "one.domain")
+    )
+    model = word_model(labelled, "domain", domains)
     members = written(posteriors(docs, model, domains), "memberships")
     return fit_rates(members, targets)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from claimwright.llm import bpe, fuzzy_lines, id_files, labelled, mixing, pitman_yor, pu, quality, queries
+from claimwright.llm import bpe, bpe_digests, fuzzy_lines, id_files, labelled, mixing, pitman_yor, pu, quality, queries
 from claimwright.llm import rules, topk, toxicity
 from claimwright.llm.components import connected_components
 from claimwright.llm.perfect_hash import PerfectHash
@@ -477,7 +477,97 @@ def test_pipeline_stages(spark):
     assert docs.where("size(token_ids) = 0 and length(text) > 0").count() == 0
 
 
+CLASHING = ["removed", "cw_lines", "cw_removed", "cw_text", "cw_score", "cw_rate", "cw_ids", "cw_others", "rate", "token_ids"]
+
+
 def test_pipeline_of_no_and_odd_rows(spark):
     for texts in ([], ODD):
-        for _, stage in corpus_pipeline.STAGES:
-            assert stage(spark, documents(spark, texts), SF).count() <= 10 * len(texts)
+        docs = documents(spark, texts)
+        for name in CLASHING:
+            docs = docs.withColumn(name, F.lit("x"))
+        for name, stage in corpus_pipeline.STAGES:
+            found = stage(spark, docs, SF)
+            wanted = [c for c in docs.columns if c != "token_ids"]
+            if name == corpus_pipeline.STAGES[-1][0]:
+                assert found.columns == [*wanted, "token_ids"]
+                assert sum(len(r.token_ids) > 0 for r in found.collect()) == sum(bool(t) for t in texts)
+            else:
+                assert found.columns == docs.columns
+                assert {r.removed for r in found.collect()} <= {"x"}
+            # Targets out of reach leave the documents as they are.
+            assert found.count() == len(texts) if name.startswith("mixing") else found.count() <= len(texts)
+
+
+def test_mixing_learns_one_text_an_id(spark):
+    rows = [(0, "hot word", "en")] * 2000 + [(i, f"bonjour mot{i}", "fr") for i in range(1, 300)]
+    rows += [(i, f"hello word{i}", "en") for i in range(300, 600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i,) for i in range(600)], "doc_id long")
+    rates = mixing.mixing_rates(docs, labels, {"en": 0.5, "fr": 0.5})
+    found = {r.doc_id: r for r in rates.collect()}
+    assert found[5].shares[1] > 0.9 and found[400].shares[0] > 0.9
+    tokens = [sum(r.rate * r.copies * r.n_tokens * r.shares[k] for r in found.values()) for k in (0, 1)]
+    assert tokens[0] == pytest.approx(tokens[1], rel=0.01)
+    made = mixing.resampled(docs, rates).count()
+    assert made <= sum(math.ceil(r.rate) * r.copies for r in found.values())
+
+
+def test_rows_of_one_id_are_dealt_over_shards_and_read_by_several_tasks(spark):
+    library = Tokenizer.from_file(WORDS)
+    texts = [(7 if k % 3 == 0 else k, f"Text number {k} of Zoë’s list, 中文 xΣ.") for k in range(3000)]
+    docs = documents(spark, texts).repartition(8)
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = id_files.write_id_files(docs, WORDS, 2, shared_folder(spark))
+        shards = manifest.collect()
+        hot = [r for r in shards if r.first_id is not None and r.first_id <= 7 <= r.last_id]
+        assert len(hot) > 3 and max(r.docs for r in hot) < 600
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    read = id_files.read_all(manifest)
+    tasks = read.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 5
+    ids = {t: [*library.encode(t, add_special_tokens=False).ids, 2] for _, t in texts}
+    want = Counter(
+        (k, len(ids[t]), zlib.crc32(np.array(ids[t], "<u4").tobytes())) for k, t in texts
+    )
+    rows = read.collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == want
+    at = 0
+    for row in sorted(rows, key=lambda r: r.start):
+        assert row.start == at
+        at += row.n_tokens
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.start)] == sorted(k for k, _ in texts)
+
+
+def test_every_document_has_the_librarys_ids(spark):
+    library = Tokenizer.from_file(WORDS)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in id_files.id_files(docs, WORDS, 2).collect()}
+    for row in docs.collect():
+        ids = [*library.encode(row.text or "", add_special_tokens=False).ids, 2]
+        assert found[row.doc_id] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), row.doc_id
+
+
+def test_round_trips_of_odd_rows(spark):
+    vocabulary = bpe.Vocabulary.read(RANKS, public_tokenizers.PATTERN)
+    docs = documents(spark, [*ODD, "one"]).withColumn("ids", F.lit("x"))
+    found = bpe_digests.round_trips(docs, vocabulary).collect()
+    assert len(found) == len(ODD) + 1
+    nothing = sha256(b"").hexdigest()
+    by_text = {r.n_tokens: r for r in found}
+    assert (by_text[0].ids_sha256, by_text[0].decoded_sha256) == (nothing, nothing)
+    assert sum(r.decoded_sha256 == sha256(b"one").hexdigest() for r in found) == 3
+    assert bpe_digests.round_trips(docs.limit(0), vocabulary).count() == 0
+
+
+def test_tokens_stay_side_by_side_as_merging_says():
+    transducer = bpe.Transducer(bpe.Vocabulary.read(RANKS, public_tokenizers.PATTERN).ranks())
+    rng, tokens = random.Random(4), list(transducer.ranks)
+    short = [t for t in tokens if len(t) <= 3]
+    for k in range(6000):
+        pair = rng.choice(short if k % 2 else tokens), rng.choice(short if k % 3 else tokens)
+        pair = (pair[0], pair[0]) if k % 40 == 0 else pair
+        assert transducer._stay(pair) == (transducer.merged(pair[0] + pair[1]) == list(pair)), pair
