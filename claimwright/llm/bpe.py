@@ -6,8 +6,8 @@ together. So each position has one last token, and the sequences of all prefixes
 tree. A token is emitted once it lies on the paths to all positions from which a longer
 token could still start; what is left to decide is a few bytes of lookahead. The last
 emitted token and the undecided bytes are the state; states and transitions are made when
-they are needed for the second time. Before that, and where a bounded number of states is
-used up, the rest of a piece is simulated without storing more.
+they are first needed. Where a bounded number of states is used up, the rest of a piece is
+simulated without storing more.
 """
 
 from __future__ import annotations
@@ -87,7 +87,6 @@ class State:
     open: tuple[int, ...]
     rest: bytes
     steps: dict[int, tuple[bytes, State]] = field(default_factory=dict)
-    asked: bytes = b""
 
 
 class Transducer:
@@ -100,10 +99,10 @@ class Transducer:
             token: rank.to_bytes(self.dtype.itemsize, "little") for token, rank in ranks.items()
         }
         self.beginnings = {token[:k] for token in ranks for k in range(1, len(token) + 1)}
+        self._adjacent: dict[tuple[bytes, bytes], bool] = {}
         self.states: dict[tuple[bytes, bytes], State] = {}
         self.start = State(b"", b"", {}, (0,), b"")
         self._follows = Memo(self._stay, MAX_PAIRS)
-        self._halves = Memo(self._split, len(ranks) + 1)
 
     def encode(self, piece: bytes) -> bytes:
         """The packed ids of one piece."""
@@ -114,11 +113,7 @@ class Transducer:
         for at, byte in enumerate(piece):
             step = state.steps.get(byte)
             if step is None:
-                # A step is made when it is asked for again; most are asked for once.
-                asked = byte in state.asked
-                if not asked:
-                    state.asked += bytes((byte,))
-                if not asked or len(self.states) >= MAX_STATES:
+                if len(self.states) >= MAX_STATES:
                     out.append(self._simulated(state, piece[at:]))
                     return b"".join(out)
                 step = state.steps[byte] = self._advance(state, byte)
@@ -128,12 +123,12 @@ class Transducer:
         out.append(state.rest)
         return b"".join(out)
 
-    def merged(self, data: bytes, below: int | None = None) -> list[bytes]:
-        """Tokens by repeated merging of the leftmost pair of least rank, ``below`` one if given."""
+    def merged(self, data: bytes) -> list[bytes]:
+        """Tokens by repeated merging of the leftmost pair of least rank."""
         parts = [data[k : k + 1] for k in range(len(data))]
         while len(parts) > 1:
             pairs = [self.ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-            known = [r for r in pairs if r is not None and (below is None or r < below)]
+            known = [rank for rank in pairs if rank is not None]
             if not known:
                 break
             at = pairs.index(min(known))
@@ -141,53 +136,25 @@ class Transducer:
         return parts
 
     def _stay(self, pair: tuple[bytes, bytes]) -> bool:
-        """Whether two tokens stay as they are side by side; the first is empty at the start.
-
-        Both are taken apart again, the younger merge first. Whenever the two parts at the
-        border could have merged before the part just taken apart was made, they would have.
-        Of two merges of one rank the left one comes first.
-        """
-        left, right = pair
-        if not left:
-            return len(right) == 1 or self._halves[right] is not None
-        if any(len(token) > 1 and self._halves[token] is None for token in pair):
-            return False
-        ranks, until, until_right = self.ranks, len(self.ranks), True
-        while True:
-            joint = ranks.get(left + right)
-            if joint is not None and (joint < until or (joint == until and until_right)):
-                return False
-            of_left = ranks[left] if len(left) > 1 else -1
-            of_right = ranks[right] if len(right) > 1 else -1
-            if of_left < 0 and of_right < 0:
-                return True
-            until_right = of_right >= of_left
-            if until_right:
-                until, right = of_right, self._halves[right][0]
-            else:
-                until, left = of_left, self._halves[left][1]
-
-    def _split(self, token: bytes) -> tuple[bytes, bytes] | None:
-        """The two tokens that are merged last to make this one; None if it is never made."""
-        parts = self.merged(token, self.ranks[token])
-        return (parts[0], parts[1]) if len(parts) == 2 else None
+        """Whether two tokens stay as they are side by side; the first is empty at the start."""
+        return self.merged(pair[0] + pair[1]) == [token for token in pair if token]
 
     def _simulated(self, state: State, tail: bytes) -> bytes:
         """The rest of a piece from a state, without making further states."""
         data, at = state.pending + tail, len(state.pending)
-        n = len(data)
-        ends = dict(state.ends)
+        ends, open_at = dict(state.ends), list(state.open)
         ends[0] = state.last
         follows, ranks, beginnings = self._follows, self.ranks, self.beginnings
-        # By start: what ends at a position is settled once all starts before it are done.
-        for start in (*state.open, *range(at + 1, n)):
-            last = ends[start]
-            for end in range(max(at, start) + 1, n + 1):
-                token = data[start:end]
-                if token not in beginnings:
-                    break
-                if end not in ends and token in ranks and follows[last, token]:
-                    ends[end] = token
+        for end in range(at + 1, len(data) + 1):
+            still = []
+            for k in open_at:
+                token = data[k:end]
+                if token in beginnings:
+                    still.append(k)
+                    if end not in ends and token in ranks and follows[ends[k], token]:
+                        ends[end] = token
+            still.append(end)
+            open_at = still
         path = self._path(ends, len(data))
         return b"".join(self.packed[ends[k]] for k in reversed(path[:-1]))
 
