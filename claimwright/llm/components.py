@@ -33,7 +33,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if now == before or now[0] == 0:
             break
         before = now
-        current = written(_small_star(_large_star(current)), "edges")
+        current = written(_small_star(_large_star(current)), "edges", current)
     nodes = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.union(roots)

@@ -20,6 +20,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings that every text operator relies on."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # Every step ends in a stored table, so no later one reads the shuffle files of an earlier.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     shared_folder(spark)
     _ship_package(spark)
     return spark
@@ -56,30 +58,46 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, *replaced: DataFrame) -> DataFrame:
     """``df`` computed once and kept as a Parquet table in the shared folder.
 
-    Cuts the lineage: later reads do not depend on any executor. The tables stay until
-    ``remove_written`` or until the folder is cleared.
+    Cuts the lineage: later reads do not depend on any executor. Once it is stored, the
+    stored tables ``replaced``, which nothing reads any more, are deleted. The others stay
+    until ``discard``, ``remove_written`` or until the folder is cleared.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written_paths(spark).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _written_paths(spark)[path] = stored
+    discard(*replaced)
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned; other tables are left alone."""
+    for table in tables:
+        paths = _written_paths(table.sparkSession)
+        for path in [path for path, stored in paths.items() if stored is table]:
+            _delete(table.sparkSession, path)
+            del paths[path]
 
 
 def remove_written(spark: SparkSession) -> None:
     """Delete the intermediate tables of this session, once their results are stored."""
     paths = _written_paths(spark)
     for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(spark, path)
     paths.clear()
 
 
-def _written_paths(spark: SparkSession) -> list[str]:
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _written_paths(spark: SparkSession) -> dict[str, DataFrame]:
     context = spark.sparkContext
     if not hasattr(context, "_claimwright_written"):
-        context._claimwright_written = []
+        context._claimwright_written = {}
     return context._claimwright_written
