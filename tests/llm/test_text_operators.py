@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter
 from hashlib import sha256
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +23,7 @@ from claimwright.llm import rules, topk, toxicity
 from claimwright.llm.components import connected_components
 from claimwright.llm.perfect_hash import PerfectHash
 from claimwright.llm.shingles import Blocks, odd_sketch, overlaps
-from claimwright.llm.storage import prepare, shared_folder
+from claimwright.llm.storage import discard, prepare, shared_folder, written
 from claimwright.llm.token_groups import similar_components
 from claimwright.llm.topk import top_k
 from tests.compare import differences, oracle_connection
@@ -391,6 +392,43 @@ def test_rare_words_are_contexts(spark):
     assert found and sum(r.score for r in found) > 0.7 * sum(r.base_score for r in found)
 
 
+# fuzzy lines, candidates
+
+
+def test_one_changed_letter_is_found_at_any_length(spark):
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(900)]
+    lines = [prose(rng, vocabulary, n) for n in range(6, 70) for _ in range(3)]
+    docs, twins = [], {}
+    for k, line in enumerate(lines):
+        letters = list(line)
+        place = rng.choice([i for i, c in enumerate(line) if c != " "])
+        letters[place] = "z"
+        docs += [(2 * k, line), (2 * k + 1, "".join(letters))]
+        twins[2 * k + 1] = line
+    found = {r.doc_id: list(r.removed) for r in fuzzy_lines.line_dedup(documents(spark, docs)).collect()}
+    assert [k for k in twins if found[k] != [0]] == []
+    assert all(found[k] == [] for k in found if k not in twins)
+
+
+def test_word_blocks_cut_whole_lines():
+    words = [b"w%d" % k for k in range(100)]
+    for n in (4, 6, 20, 63, 64, 100):
+        keys = fuzzy_lines.word_blocks(words[:n])
+        other = fuzzy_lines.word_blocks([*words[: n - 1], b"x"])
+        assert len(set(keys)) == len(keys) <= fuzzy_lines.MAX_PARTS and all(k < 0 for k in keys)
+        assert keys[:-1] == other[:-1] and keys[-1] != other[-1]
+    assert fuzzy_lines.word_blocks([]) == fuzzy_lines.word_blocks(words[:3]) == []
+
+
+def test_superseded_tables_are_deleted(spark):
+    one = written(spark.range(3), "one")
+    two = written(one.select((F.col("id") + 1).alias("id")), "two", one)
+    assert sorted(r.id for r in two.collect()) == [1, 2, 3]
+    assert not any(Path(p.removeprefix("file:")).exists() for p in one.inputFiles())
+    discard(two, two)
+
+
 # mixing
 
 
