@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwright.functions.texts import cell, leading_integer, month_year_hi
+from claimwright.operators.lookups import stored
 from claimwright.operators.numbering import running_copies
 from claimwright.params import ReportParams
 from claimwright.plans.rules import LINE_COLUMNS, RULES, Scope, priced_lines
@@ -207,9 +208,10 @@ def write_forms(form: DataFrame, directory: str, folders: int = FORM_FOLDERS) ->
     ``shared`` has the unscoped lines, which open every form, once. ``own`` has each
     worker's lines, dealt to ``folders`` folders and sorted by worker and number within
     files, so that a reader opens one folder and skips to the worker. A worker with very
-    many lines is spread over several files.
+    many lines is spread over several files. Both parts are split off a stored copy of the
+    lines, so that the rules are evaluated once.
     """
-    form = form.withColumn("s_no", F.col("s_no").cast("bigint"))
+    form = stored(form.withColumn("s_no", F.col("s_no").cast("bigint")), "forms").frame
     form.where(F.col("worker").isNull()).drop("worker").write.parquet(f"{directory}/shared")
     (
         form.where(F.col("worker").isNotNull())

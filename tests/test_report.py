@@ -107,6 +107,19 @@ def test_a_form_out_of_a_batch_is_that_of_a_single_run(spark, tables, tmp_path,
         assert [int(row.s_no) for row in found] == list(range(1, len(found) + 1))
 
 
+def test_writing_a_batch_evaluates_the_form_once(spark, tables, tmp_path):
+    form = report.claim_form(Run(tables, WIDE))
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def passed_on(batches):
+        for batch in batches:
+            evaluated.add(batch.num_rows)
+            yield batch
+
+    report.write_forms(form.mapInArrow(passed_on, form.schema), str(tmp_path / "forms"))
+    assert evaluated.value == form.count() > 0
+
+
 def jobs_of(spark, name, build) -> int:
     spark.sparkContext.setJobGroup(name, name)
     build()
