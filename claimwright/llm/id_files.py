@@ -30,7 +30,9 @@ from claimwright.llm.perfect_hash import PerfectHash, fingerprints, mixed
 from claimwright.llm.storage import shared_folder, written
 
 MAGIC = b"CWIDS001"
-MAX_WORDS = 500_000
+MAX_WORDS = 1_000_000
+# Texts whose words are held together, and asked of the library together where unknown.
+TEXTS_AT_ONCE = 500
 
 # White space of the tokenizer's patterns, a word's end, its special tokens.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -103,7 +105,12 @@ class WordEncoder:
         return self._words(text) if self._odd.search(text) else text.split()
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        """The packed ids of every text. Each word that is known is looked up once."""
+        """The packed ids of every text; the words of few texts at a time are held."""
+        for k in range(0, len(texts), TEXTS_AT_ONCE):
+            yield from self._encode_some(texts[k : k + TEXTS_AT_ONCE])
+
+    def _encode_some(self, texts: list[str]) -> Iterator[bytes]:
+        """Each word that is known is looked up once."""
         known, rows = self.known, []
         unseen: dict[str, None] = {}
         for text in texts:

@@ -492,6 +492,20 @@ def test_word_encoder_equals_the_library():
         assert ids == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_holds_the_words_of_few_texts():
+    definition = open(WORDS, "rb").read()
+    encoder, library = id_files.WordEncoder(definition), Tokenizer.from_buffer(definition)
+    split, held = encoder._split, []
+    encoder._split = lambda text: held.append(text) or split(text)
+    texts = [f"word{k % 7} of {k}, text" for k in range(1_200)]
+    rows = encoder.encode_all(texts)
+    first = next(rows)
+    assert len(held) < len(texts)
+    found = [np.frombuffer(packed, encoder.dtype).tolist() for packed in [first, *rows]]
+    assert held == texts
+    assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_id_files_and_keyed_access(spark):
     library = Tokenizer.from_file(WORDS)
     docs = documents(spark, [*ODD, "two words"])
