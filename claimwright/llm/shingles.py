@@ -49,6 +49,61 @@ def odd_sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(counts & 1).view(np.int64)
 
 
+def grown_sketch(tokens: np.ndarray) -> bytes:
+    """Which classes of tokens hold an odd number of the set; a class a token or more.
+
+    The classes are a power of two, at least 64, so a longer sketch folds to a shorter one.
+    Folded to the same length, two sketches differ in at most as many bits as the sets
+    differ in tokens, and in few less while the classes are as many as the tokens.
+    """
+    classes = max(64, 1 << (len(tokens) - 1).bit_length())
+    held = (mixed(tokens, 17) & np.uint64(classes - 1)).astype(np.int64)
+    return np.packbits(np.bincount(held, minlength=classes) & 1).tobytes()
+
+
+def near_sketches(
+    left: tuple[np.ndarray, list[bytes]], right: tuple[np.ndarray, list[bytes]], percent: int
+) -> np.ndarray:
+    """Which sets of ``left`` may be similar to one of ``right``, by sizes and grown sketches.
+
+    What is left out cannot reach a similarity of ``percent``. Only sketches of one length,
+    or of one and twice that length, belong to sets of sizes near enough.
+    """
+    found = np.zeros(len(left[0]), dtype=bool)
+    others = _by_length(*right)
+    for length, (at, sizes, bits) in _by_length(*left).items():
+        for other in (length // 2, length, 2 * length):
+            if other not in others:
+                continue
+            _, other_sizes, other_bits = others[other]
+            a, b = sizes[:, None], other_sizes[None, :]
+            able = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+            x, y = able.any(axis=1), able.any(axis=0)
+            if not x.any():
+                continue
+            width = min(bits.shape[1], other_bits.shape[1])
+            one, two = _folded(bits[x], width), _folded(other_bits[y], width)
+            apart = np.bitwise_count(one[:, None] ^ two[None, :]).sum(axis=2, dtype=np.int64)
+            near = (100 + percent) * apart <= (100 - percent) * (a[x] + b[:, y])
+            found[at[x]] |= (near & able[np.ix_(x, y)]).any(axis=1)
+    return found
+
+
+def _by_length(sizes: np.ndarray, sketches: list[bytes]) -> dict[int, tuple[np.ndarray, ...]]:
+    """Places, sizes and bits of the sketches of every length."""
+    lengths = np.array([len(sketch) for sketch in sketches])
+    found = {}
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        bits = np.frombuffer(b"".join(sketches[k] for k in at), "<u8").reshape(len(at), -1)
+        found[length] = at, sizes[at], bits
+    return found
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    return bits if bits.shape[1] == width else bits[:, :width] ^ bits[:, width:]
+
+
 class Blocks:
     """Block keys for a similarity of ``percent``: shared tokens over all tokens, in percent.
 

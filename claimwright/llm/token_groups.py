@@ -3,7 +3,8 @@
 Sets that share a block (see ``shingles``) are put into groups of bounded size. A group
 keeps the union of its members' tokens: a set can only be similar to a member if enough of
 its own tokens lie in that union. Only groups that pass this bound are opened, and their
-members compared exactly.
+members compared exactly. Before any tokens travel between groups, sketches of a bit a token
+tell which members can be similar to one of the other group.
 """
 
 from __future__ import annotations
@@ -12,11 +13,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimwright.llm.components import connected_components, split_pairs, star_pairs
-from claimwright.llm.shingles import Blocks, odd_sketch, overlaps, set_id, shingle_set
+from claimwright.llm.shingles import (
+    Blocks,
+    grown_sketch,
+    near_sketches,
+    odd_sketch,
+    overlaps,
+    set_id,
+    shingle_set,
+)
 from claimwright.llm.storage import written
 from claimwright.operators.sizing import broadcast_if_small
 
@@ -26,8 +36,6 @@ GROUP_SETS = 128
 # Keys of 8 bytes, or rows of a few, that may be broadcast; beyond, the join shuffles.
 BROADCAST_KEYS = 2_000_000
 
-MEMBERS = "array<struct<set_id:bigint,tokens:array<bigint>>>"
-
 
 def features(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, set_id, sketch, blocks``; the last three are null without words."""
@@ -57,7 +65,7 @@ def features(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _tokens(texts: DataFrame, size: int) -> DataFrame:
-    """``group, set_id, tokens`` of the texts that are the set they are expected to be."""
+    """``group, set_id, tokens, sketch`` of the texts that are the set they are expected to be."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,18 +80,38 @@ def _tokens(texts: DataFrame, size: int) -> DataFrame:
                     pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.int64()),
                     pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+                    pa.array([grown_sketch(r[2].view(np.uint64)) for r in rows], pa.binary()),
                 ],
-                names=["group", "set_id", "tokens"],
+                names=["group", "set_id", "tokens", "sketch"],
             )
 
     return texts.select("group", "set_id", "text").mapInArrow(
-        run, "group long, set_id long, tokens array<long>"
+        run, "group long, set_id long, tokens array<long>, sketch binary"
     )
 
 
-def _members(value: list[dict]) -> tuple[list[int], list[np.ndarray]]:
-    ids = [m["set_id"] for m in value]
-    return ids, [np.array(m["tokens"], dtype=np.int64).view(np.uint64) for m in value]
+def _cuts(lists: pa.ListArray) -> np.ndarray:
+    """Where each list begins among the flattened values, and where the last one ends."""
+    return np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(False))]
+
+
+def _members(column: pa.ListArray) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """For every row, the ids of its sets and their tokens."""
+    sets = column.flatten()
+    tokens = sets.field("tokens")
+    ids, flat = sets.field("set_id").to_pylist(), tokens.flatten().to_numpy().view(np.uint64)
+    rows, cuts = _cuts(column), _cuts(tokens)
+    for start, stop in zip(rows[:-1], rows[1:]):
+        yield ids[start:stop], [flat[cuts[k] : cuts[k + 1]] for k in range(start, stop)]
+
+
+def _sketches(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """For every row, the ids of its sets, their sizes and sketches."""
+    sets = column.flatten()
+    ids, sizes = (sets.field(name).to_numpy() for name in ("set_id", "size"))
+    sketches, rows = sets.field("sketch").to_pylist(), _cuts(column)
+    for start, stop in zip(rows[:-1], rows[1:]):
+        yield ids[start:stop], sizes[start:stop], sketches[start:stop]
 
 
 def _links(
@@ -125,8 +153,7 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 def _links_inside(groups: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for value in batch.column(0):
-                members = _members(value.as_py())
+            for members in _members(batch.column(0)):
                 yield _edge_batch(_links(members, members, percent))
 
     return groups.where(F.size("members") > 1).select("members").mapInArrow(run, "a long, b long")
@@ -135,39 +162,50 @@ def _links_inside(groups: DataFrame, percent: int) -> DataFrame:
 def _links_between(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Links between members of the groups ``first`` and ``other`` of every pair."""
 
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Members of the first group with enough tokens in the union of the other."""
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs, each with the sets of its first group that may be similar to one of the other."""
+        for batch in batches:
+            kept, able = [], []
+            sides = zip(_sketches(batch.column("ones")), _sketches(batch.column("twos")))
+            for k, ((ids, *left), (_, *right)) in enumerate(sides):
+                if (hit := near_sketches(left, right, percent)).any():
+                    kept.append(k)
+                    able.append(ids[hit])
+            pairs = batch.select(["first", "other"]).take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*pairs.columns, pa.array(able, pa.list_(pa.int64()))],
+                names=["first", "other", "able"],
+            )
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of the sets with enough tokens in the union of the other group."""
         for batch in batches:
-            others, members, unions = batch.columns
-            for k in range(batch.num_rows):
-                union = np.sort(np.array(unions[k].as_py(), dtype=np.int64).view(np.uint64))
+            sides = zip(_members(batch.column("queries")), _members(batch.column("members")))
+            for (ids, sets), members in sides:
+                union = np.unique(np.concatenate(members[1]))
                 able = []
-                for member in members[k].as_py():
-                    tokens = np.array(member["tokens"], dtype=np.int64).view(np.uint64)
+                for k, tokens in enumerate(sets):
                     at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
                     if 100 * int((union[at] == tokens).sum()) >= percent * len(tokens):
-                        able.append(member)
+                        able.append(k)
                 if able:
-                    yield pa.RecordBatch.from_arrays(
-                        [others.slice(k, 1), pa.array([able], members.type)],
-                        names=["other", "queries"],
-                    )
-
-    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            queries, members = batch.columns
-            for k in range(batch.num_rows):
-                sides = _members(queries[k].as_py()), _members(members[k].as_py())
-                yield _edge_batch(_links(*sides, percent))
-
-    asking = (
-        pairs.join(groups.select(F.col("group").alias("first"), "members"), "first")
-        .join(groups.select(F.col("group").alias("other"), "union"), "other")
-        .select("other", "members", "union")
-        .mapInArrow(bound, f"other long, queries {MEMBERS}")
+                    queries = [ids[k] for k in able], [sets[k] for k in able]
+                    yield _edge_batch(_links(queries, members, percent))
+
+    ones = groups.select(F.col("group").alias("first"), F.col("sketches").alias("ones"))
+    twos = groups.select(F.col("group").alias("other"), F.col("sketches").alias("twos"))
+    met = written(
+        pairs.join(ones, "first")
+        .join(twos, "other")
+        .select("first", "other", "ones", "twos")
+        .mapInArrow(near, "first long, other long, able array<long>"),
+        "near-groups",
     )
+    able = F.filter("members", lambda m: F.array_contains("able", m["set_id"]))
     return (
-        asking.join(groups.select(F.col("group").alias("other"), "members"), "other")
+        met.join(groups.select(F.col("group").alias("first"), "members"), "first")
+        .select("other", able.alias("queries"))
+        .join(groups.select(F.col("group").alias("other"), "members"), "other")
         .select("queries", "members")
         .mapInArrow(opened, "a long, b long")
     )
@@ -199,7 +237,9 @@ def similar_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         "shared-blocks",
     )
     buckets = written(
-        published.join(broadcast_if_small(shared, BROADCAST_KEYS), "block").distinct(), "buckets"
+        published.join(broadcast_if_small(shared, BROADCAST_KEYS), "block").distinct(),
+        "buckets",
+        shared,
     )
     # Groups: by the least shared block, split by a hash of the set where that has too much.
     keyed = buckets.groupBy("set_id", "n_shingles").agg(F.min("block").alias("block"))
@@ -227,12 +267,14 @@ def similar_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         _tokens(texts, size)
         .dropDuplicates(["set_id"])
         .groupBy("group")
-        .agg(F.collect_list(F.struct("set_id", "tokens")).alias("members"))
-        .withColumn(
-            "union",
-            F.array_distinct(F.flatten(F.transform("members", lambda m: m["tokens"]))),
+        .agg(
+            F.collect_list(F.struct("set_id", "tokens")).alias("members"),
+            F.collect_list(F.struct("set_id", F.size("tokens").alias("size"), "sketch")).alias(
+                "sketches"
+            ),
         ),
         "token-groups",
+        wanted,
     )
     matrix = buckets.join(grouped, "set_id")
     first = written(
@@ -249,17 +291,21 @@ def similar_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     known = matrix.join(found, "set_id", "left").withColumn(
         "component", F.coalesce("component", "set_id")
     )
-    # Similar sets differ in so few tokens, and sketches in no more bits.
+    # Similar sets are of near sizes and differ in so few tokens, and sketches in no more bits.
     apart = split_pairs(
         known,
         "block",
         "group",
         ["n_shingles", "sketch"],
-        lambda x, y: (100 + percent)
-        * sum(
-            F.bit_count(x("sketch")[k].bitwiseXOR(y("sketch")[k])) for k in range(4)
+        lambda x, y: (
+            100 * F.least(x("n_shingles"), y("n_shingles"))
+            >= percent * F.greatest(x("n_shingles"), y("n_shingles"))
         )
-        <= (100 - percent) * (x("n_shingles") + y("n_shingles")),
+        & (
+            (100 + percent)
+            * sum(F.bit_count(x("sketch")[k].bitwiseXOR(y("sketch")[k])) for k in range(4))
+            <= (100 - percent) * (x("n_shingles") + y("n_shingles"))
+        ),
     )
     second = _links_between(apart, groups, percent)
     components = connected_components(first.union(second)).withColumnRenamed("node", "set_id")

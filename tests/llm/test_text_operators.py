@@ -19,10 +19,10 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from claimwright.llm import bpe, bpe_digests, fuzzy_lines, id_files, labelled, mixing, pitman_yor, pu, quality, queries
-from claimwright.llm import rules, topk, toxicity
+from claimwright.llm import rules, token_groups, topk, toxicity
 from claimwright.llm.components import connected_components
 from claimwright.llm.perfect_hash import PerfectHash
-from claimwright.llm.shingles import Blocks, odd_sketch, overlaps
+from claimwright.llm.shingles import Blocks, grown_sketch, near_sketches, odd_sketch, overlaps
 from claimwright.llm.storage import discard, prepare, shared_folder, written
 from claimwright.llm.token_groups import similar_components
 from claimwright.llm.topk import top_k
@@ -189,6 +189,45 @@ def test_similar_sets_share_a_block_and_sketches_bound_differences():
             assert np.intersect1d(blocks.keys(one), blocks.keys(other)).size
 
 
+def test_grown_sketches_bound_differences_and_tell_sets_apart():
+    rng = np.random.default_rng(5)
+    for percent in (80, 90):
+        for n in (3, 60, 700, 9_000):
+            base = rng.integers(0, 1 << 62, n).astype(np.uint64)
+            sets = [base]
+            for kept in (0.98, 0.93, 0.88, 0.7, 0.4, 0.1):
+                fresh = rng.integers(0, 1 << 62, n - int(kept * n)).astype(np.uint64)
+                sets.append(np.unique(np.r_[base[: int(kept * n)], fresh]))
+            sides = [(np.array([len(s)]), [grown_sketch(s)]) for s in sets]
+            for s, side in zip(sets, sides):
+                shared = len(np.intersect1d(s, base))
+                near = bool(near_sketches(side, sides[0], percent)[0])
+                assert near or 100 * shared < percent * (len(s) + n - shared)
+                # Large sets that share a passage are not taken for similar.
+                assert not (near and n >= 700 and shared <= n // 2)
+        together = np.concatenate([size for size, _ in sides]), [b for _, (b,) in sides]
+        alone = [bool(near_sketches(side, sides[0], percent)[0]) for side in sides]
+        assert near_sketches(together, sides[0], percent).tolist() == alone
+
+
+def test_no_tokens_travel_between_groups_that_share_a_passage(spark, monkeypatch):
+    """Texts of their own words around one common passage: no group asks another for its sets."""
+    tables = {}
+
+    def kept(df, name, *replaced):
+        tables.setdefault(name, []).append(written(df, name))
+        return tables[name][-1]
+
+    monkeypatch.setattr(token_groups, "written", kept)
+    passage = " ".join(f"common{k}" for k in range(900))
+    texts = [" ".join(f"own{i}x{k}" for k in range(3_000)) + " " + passage for i in range(24)]
+    texts.append(texts[7] + " more")
+    rows = similar_components(documents(spark, texts), 5, 80).collect()
+    assert sorted((r.doc_id, r.component_id) for r in rows) == [*((k, k) for k in range(24)), (24, 7)]
+    asked = [table.count() for table in tables["near-groups"]]
+    assert sum(asked) <= 2, asked
+
+
 def test_connected_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     rows = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
