@@ -23,7 +23,7 @@ from claimwright.llm import rules, token_groups, topk, toxicity
 from claimwright.llm.components import connected_components
 from claimwright.llm.perfect_hash import PerfectHash
 from claimwright.llm.shingles import Blocks, grown_sketch, near_sketches, odd_sketch, overlaps
-from claimwright.llm.storage import discard, prepare, shared_folder, written
+from claimwright.llm.storage import _written_paths, discard, prepare, remove_written, shared_folder, written
 from claimwright.llm.token_groups import similar_components
 from claimwright.llm.topk import top_k
 from tests.compare import differences, oracle_connection
@@ -419,6 +419,29 @@ def test_predictive_probabilities_sum_to_one(spark):
     assert pitman_yor.language_scores(documents(spark, [])).count() == 0
 
 
+def test_language_model_tells_chunks_little_at_once(spark, monkeypatch):
+    """The same scores however texts fall into chunks; pair counts go before any scoring."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(300)]
+    rows = spark.createDataFrame(
+        [(k, prose(rng, words, rng.randrange(60))) for k in range(120)], "doc_id long, text string"
+    )
+    found, names = [], []
+
+    def kept(df, name, *replaced):
+        if name == "language-scores":
+            names.append([path for path in _written_paths(spark) if "pair-counts" in path])
+        return written(df, name, *replaced)
+
+    monkeypatch.setattr(pitman_yor, "written", kept)
+    for docs in (rows.coalesce(1), rows.repartition(6)):
+        remove_written(spark)
+        scores = pitman_yor.language_scores(docs).collect()
+        found.append(sorted((r.doc_id, r.held_out, r.n_known, round(r.score, 9)) for r in scores))
+    assert found[0] == found[1] and len(found[0]) == 120
+    assert names == [[]] * 2 * pitman_yor.SCORED_PARTS
+
+
 def test_rare_words_are_contexts(spark):
     rng = random.Random(13)
     # Each of 3,000 words is rare, and always before the same other one.
@@ -460,6 +483,30 @@ def test_word_blocks_cut_whole_lines():
     assert fuzzy_lines.word_blocks([]) == fuzzy_lines.word_blocks(words[:3]) == []
 
 
+def test_buckets_of_lines_are_made_in_parts(spark, monkeypatch):
+    """Each part holds its own keys, all parts together every shared one."""
+    stored = []
+
+    def kept(df, name, *replaced):
+        table = written(df, name, *replaced)
+        if name == "line-buckets":
+            stored.append([(r.key, r.normal) for r in table.collect()])
+        return table
+
+    monkeypatch.setattr(fuzzy_lines, "written", kept)
+    rng = random.Random(4)
+    lines = [prose(rng, [f"word{k}" for k in range(4_000)], 12) for _ in range(40)]
+    texts = [*lines, *(line.replace("word1", "wordy1", 1) for line in lines)]
+    rows = fuzzy_lines.line_dedup(documents(spark, texts)).collect()
+    assert sum(r.n_removed for r in rows) >= 30
+    assert len(stored) == fuzzy_lines.KEY_PARTS and all(stored)
+    keys = [{key for key, _ in part} for part in stored]
+    assert len(set().union(*keys)) == sum(map(len, keys))
+    normals = {fuzzy_lines.normal_id(t.encode().split()): t.encode().split() for t in texts}
+    of_words = Counter(k for words in normals.values() for k in fuzzy_lines.word_blocks(words))
+    assert {k for k, n in of_words.items() if n > 1} == {k for k in set().union(*keys) if k < 0}
+
+
 def test_superseded_tables_are_deleted(spark):
     one = written(spark.range(3), "one")
     two = written(one.select((F.col("id") + 1).alias("id")), "two", one)
