@@ -12,8 +12,10 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -442,6 +444,30 @@ def test_language_model_tells_chunks_little_at_once(spark, monkeypatch):
     assert names == [[]] * 2 * pitman_yor.SCORED_PARTS
 
 
+def test_pairs_of_a_chunk_are_listed_in_bounded_batches(spark):
+    rng = random.Random(21)
+    texts = [(k, " ".join(f"w{rng.randrange(2_000)}" for _ in range(300))) for k in range(700)]
+    docs = documents(spark, texts).coalesce(1)
+    chunks = pitman_yor._chunked(docs, F.expr("doc_id % 2 = 0")).toArrow().combine_chunks().to_batches()[0]
+    assert chunks.num_rows == 1
+    batches = list(pitman_yor._pair_batches(chunks, 0))
+    assert len(batches) > 1 and max(b.num_rows for b in batches) <= pitman_yor.LISTED_PAIRS
+    number = {xxhash.xxh3_64_intdigest(f"w{k}".encode()): k for k in range(2_000)}
+    number |= {pitman_yor.END: -1, int(pitman_yor.BEGINNING) % 2**64: -2}
+    found = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            assert (r["chunk"], r["at"]) == (0, len(found))
+            found[number[r["context"] % 2**64], number[r["word"] % 2**64]] = r["seen"]
+    seen, learned = set(), Counter()
+    for k, text in texts:
+        words = [-2, *(int(w[1:]) for w in text.split()), -1]
+        seen.update(zip(words, words[1:]))
+        if k % 2 == 0:
+            learned.update(zip(words, words[1:]))
+    assert found == {pair: learned[pair] for pair in seen}
+
+
 def test_rare_words_are_contexts(spark):
     rng = random.Random(13)
     # Each of 3,000 words is rare, and always before the same other one.
@@ -483,6 +509,41 @@ def test_word_blocks_cut_whole_lines():
     assert fuzzy_lines.word_blocks([]) == fuzzy_lines.word_blocks(words[:3]) == []
 
 
+def plain_distance(one, other):
+    row = list(range(len(other) + 1))
+    for i, x in enumerate(one, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(other, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_edits_within_a_limit_are_exact():
+    rng = random.Random(17)
+    met = Counter()
+    for _ in range(3_000):
+        one = rng.choices("abé", k=rng.randrange(90 if rng.random() < 0.1 else 14))
+        other = list(one)
+        for _ in range(rng.randrange(7)):
+            if other and rng.random() < 0.5:
+                other.pop(rng.randrange(len(other)))
+            else:
+                other.insert(rng.randrange(len(other) + 1), rng.choice("abc😀"))
+        one, other, allowed = "".join(one), "".join(other), rng.randrange(6)
+        within = plain_distance(one, other) <= allowed
+        assert fuzzy_lines.within_edits(one, other, allowed) == within
+        met[within] += 1
+    assert min(met.values()) > 500
+
+
+def test_words_of_few_texts_are_held_at_once(monkeypatch):
+    monkeypatch.setattr(fuzzy_lines, "_CHARS_AT_ONCE", 10)
+    texts = ["abc", None, "", "x" * 30, "abc", "abcdefg", "y"]
+    runs = list(fuzzy_lines._runs(pa.array(texts)))
+    assert runs == [(0, texts[:4]), (4, texts[4:6]), (6, ["y"])]
+    assert list(fuzzy_lines._runs(pa.array([], pa.string()))) == []
+
+
 def test_buckets_of_lines_are_made_in_parts(spark, monkeypatch):
     """Each part holds its own keys, all parts together every shared one."""
     stored = []
