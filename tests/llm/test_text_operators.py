@@ -536,6 +536,95 @@ def test_edits_within_a_limit_are_exact():
     assert min(met.values()) > 500
 
 
+def test_edits_of_many_pairs_equal_those_of_each(monkeypatch):
+    rng = random.Random(19)
+    ones, others, allowed = [], [], []
+    for _ in range(1_500):
+        one = rng.choices("abcdé 😀", k=rng.choice([0, 1, 20, 63, 64, 65, 128, 129, 200]))
+        other = list(one)
+        for _ in range(rng.randrange(25)):
+            if other and rng.random() < 0.5:
+                other.pop(rng.randrange(len(other)))
+            else:
+                other.insert(rng.randrange(len(other) + 1), rng.choice("abq😀"))
+        ones.append("".join(one))
+        others.append("".join(other))
+        allowed.append(rng.randrange(25))
+    want = [fuzzy_lines.within_edits(*pair) for pair in zip(ones, others, allowed)]
+    assert 300 < sum(want) < 1_400
+    for most in (fuzzy_lines._TABLE, 20_000):
+        monkeypatch.setattr(fuzzy_lines, "_TABLE", most)
+        assert fuzzy_lines.all_within_edits(ones, others, np.array(allowed)).tolist() == want
+    for one, other, most, within in zip(ones, others, allowed, want):
+        assert within or not fuzzy_lines._few_words_differ(one, other, most)
+    counts = fuzzy_lines._letter_counts(pa.array(["q", "abca 9é", "zz", ""]).slice(1))
+    assert counts.sum(axis=1).tolist() == [5, 2, 0] and counts[0, [0, 1, 2, 35]].tolist() == [2, 1, 1, 1]
+
+
+def test_lines_read_at_once_equal_each_alone():
+    texts = [None, "", " \n\t", "One, two\n\nthree-é 4 5 6 7", "a\x0bb\x1cc\rd", "x" * 99 + "\n", "ÀB c " * 70]
+    lines = fuzzy_lines.Lines.read(texts)
+    want = [(k, n, w) for k, t in enumerate(texts) for n, w in enumerate(fuzzy_lines.normal_lines(t or "")) if w]
+    assert [tuple(x) for x in lines.places.tolist()] == [(k, n) for k, n, _ in want]
+    assert lines.words().to_pylist() == [x for _, _, w in want for x in w]
+    assert lines.normals().tolist() == [fuzzy_lines.normal_id(w) for _, _, w in want]
+    assert lines.characters().tolist() == [len(b" ".join(w).decode()) for _, _, w in want]
+    keys, counts = lines.word_blocks()
+    assert np.split(keys, np.cumsum(counts)[:-1])[1].tolist() == fuzzy_lines.word_blocks(want[1][2])
+    assert len(fuzzy_lines.Lines.read([None]).lengths) == 0
+
+
+def test_a_task_holds_the_bits_of_the_lines_at_hand_only():
+    hasher = fuzzy_lines.SimHasher()
+    hasher.hashes([[b"one", b"two"], [b"two"]])
+    assert sum(x.nbytes for x in vars(hasher).values() if isinstance(x, np.ndarray)) < 10_000
+
+
+def test_buckets_list_pairs_of_small_ones_and_few_of_large_ones():
+    rng = np.random.default_rng(2)
+    normals = rng.permutation(2_000)
+    keys = np.where(normals < 400, -5, np.where(normals < 405, 7, 1_000 + normals))
+    lengths = np.where(normals == 402, 300, 100)
+    again = rng.integers(0, 2_000, 500)
+    rows = fuzzy_lines._met(*(np.append(x, x[again]) for x in (keys, normals, lengths)))
+    key, one, other, _ = rows
+    small = {(int(a), int(b)) for a, b in zip(one[key == 7], other[key == 7])}
+    assert small == {(a, b) for a in range(400, 405) for b in range(a + 1, 405) if 402 not in (a, b)}
+    large = Counter((int(a), int(b)) for a, b in zip(one[key == -5], other[key == -5]))
+    assert all((a, a) in large and (0, a) in large and (a, min(a + 8, 399)) in large for a in range(400))
+    assert len(large) < 400 * (fuzzy_lines.FOLLOWING + 2) and set(key.tolist()) == {-5, 7}
+    assert all(len(x) == 0 for x in fuzzy_lines._met(keys[:0], normals[:0], lengths[:0]))
+
+
+def test_lines_of_large_buckets_are_compared_with_all(spark):
+    """Lines that share a beginning only are apart, those linked through any other are not."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(3_000)]
+    start = "one common beginning of"
+    unlike = [f"{start} {prose(rng, words, 20)}" for _ in range(60)]
+    chains = []
+    for _ in range(8):
+        tail = rng.choices(words, k=20)
+        for k in range(6):
+            tail[3 * k] = rng.choice(words)
+            chains.append(f"{start} {' '.join(tail)}")
+    texts = [*unlike, *chains]
+    rng.shuffle(texts)
+    docs = list(enumerate(texts))
+    found = {r.doc_id: r.n_removed for r in fuzzy_lines.line_dedup(documents(spark, docs)).collect()}
+    leader = list(range(len(texts)))
+
+    def top(k):
+        return k if leader[k] == k else top(leader[k])
+
+    for a, one in docs:
+        for b, other in docs[a + 1 :]:
+            if fuzzy_lines.within_edits(one, other, max(len(one), len(other)) // 10):
+                leader[max(top(a), top(b))] = min(top(a), top(b))
+    assert found == {k: int(top(k) != k) for k in leader and range(len(texts))}
+    assert 20 < sum(found.values()) < 50
+
+
 def test_words_of_few_texts_are_held_at_once(monkeypatch):
     monkeypatch.setattr(fuzzy_lines, "_CHARS_AT_ONCE", 10)
     texts = ["abc", None, "", "x" * 30, "abc", "abcdefg", "y"]
