@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from claimwright.llm.memo import Memo
+from claimwright.llm.storage import give_back_memory
 
 # The Unicode white space of the splitting pattern.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -315,6 +316,7 @@ def _mapped(df: DataFrame, keep: list[str], source: str, fields: list, run) -> D
     names = [f.name for f in [*kept, *fields]]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back_memory()
         for batch in batches:
             found = run(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=names)

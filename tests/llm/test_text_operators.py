@@ -25,7 +25,7 @@ from claimwright.llm import rules, token_groups, topk, toxicity
 from claimwright.llm.components import connected_components
 from claimwright.llm.perfect_hash import PerfectHash
 from claimwright.llm.shingles import Blocks, grown_sketch, near_sketches, odd_sketch, overlaps
-from claimwright.llm.storage import _written_paths, discard, prepare, remove_written, shared_folder, written
+from claimwright.llm.storage import _written_paths, discard, give_back_memory, prepare, remove_written, shared_folder, written
 from claimwright.llm.token_groups import similar_components
 from claimwright.llm.topk import top_k
 from tests.compare import differences, oracle_connection
@@ -657,6 +657,15 @@ def test_buckets_of_lines_are_made_in_parts(spark, monkeypatch):
     assert {k for k, n in of_words.items() if n > 1} == {k for k in set().union(*keys) if k < 0}
 
 
+def test_no_task_of_the_last_stage_holds_two_codecs(spark):
+    docs = documents(spark, ["one two", None, "three"])
+    out = corpus_pipeline.byte_bpe(spark, docs, SF)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert sorted(r.text or "" for r in out.collect()) == ["", "one two", "three"]
+    give_back_memory()
+
+
 def test_superseded_tables_are_deleted(spark):
     one = written(spark.range(3), "one")
     two = written(one.select((F.col("id") + 1).alias("id")), "two", one)
